@@ -6,6 +6,8 @@ from .common import table
 from .components import group_matches
 from .garble import garbled
 from .folding import formatting_duplicates
+from .leaks import leaks
+from .packing import pack_documents
 from .survivors import build_survivors, field_choices, single_sources
 
 
@@ -33,6 +35,22 @@ def p5_found(spark, sf_dir):
     return group_matches(table(spark, sf_dir, "dedup_matches"))
 
 
+def p7_packed(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def _leaks(spark, sf_dir):
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "test_items"))
+
+
+def p8_found(spark, sf_dir):
+    return _leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p8_leaks(spark, sf_dir):
+    return _leaks(spark, sf_dir)
+
+
 def p9_found(spark, sf_dir):
     return garbled(table(spark, sf_dir, "documents")).select("doc_id")
 
