@@ -9,6 +9,7 @@ from .folding import formatting_duplicates
 from .leaks import leaks
 from .packing import pack_documents
 from .survivors import build_survivors, field_choices, single_sources
+from .vectors import clusters, described, nearest
 
 
 def p1_copies(spark, sf_dir):
@@ -31,10 +32,26 @@ def p2_survivors(spark, sf_dir):
     return build_survivors(table(spark, sf_dir, "records"), _choices(spark, sf_dir))
 
 
+def p4_found(spark, sf_dir):
+    return clusters(table(spark, sf_dir, "fingerprints"))[0]
+
+
+def p4_clusters(spark, sf_dir):
+    return described(clusters(table(spark, sf_dir, "fingerprints"))[1])
+
+
 def p5_found(spark, sf_dir):
     return group_matches(table(spark, sf_dir, "dedup_matches"))
 
 
+def p6_neighbours(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "fingerprints"))
+
+
+def p6_found(spark, sf_dir):
+    return p6_neighbours(spark, sf_dir).select("record_id", "neighbor_id")
+
+
 def p7_packed(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
 
