@@ -1,9 +1,601 @@
-"""Queries over the test tables, and their SQL."""
+"""Queries over the test tables, and DuckDB SQL with the same results where SQL can express them."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import policy, text, vectors
+from ..operators import dedup, patterns as P, sandbox as S, templates as T, views
+from ..operators.clients import ScriptedClient
+from ..operators.normalize import schemas_of, validate
+from ..schemas import PATTERN
+from ..sources.readers import Source, read, read_problems
+from ..tables import TRACE, Snapshots, cut, shared_dir, stored, upsert_records
+from .ingest import dedup_records, metrics_of
+from .mining import mine
+
+_Q: dict = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _Q[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _strings(c) -> F.Column:
+    return F.array_join(F.sort_array(c), "|")
+
+
+def _case(mapping: dict[str, str], x: str, other: str) -> str:
+    return f"case {x} " + " ".join(f"when '{k}' then '{v}'" for k, v in mapping.items()) + f" else {other} end"
+
+
+# Pieces of SQL: white space stripped as Python does, tokens, canonical records once an id.
+_STRIP = r"regexp_replace(regexp_replace({0}, '^[\s\x{{A0}}\x{{2000}}-\x{{200A}}\x{{3000}}]+', ''), '[\s\x{{A0}}\x{{2000}}-\x{{200A}}\x{{3000}}]+$', '')"
+_TOKENS = "regexp_extract_all(lower(coalesce({0}, '')), '[a-z0-9]+')"
+_ONCE = "(select * from canonical_records qualify row_number() over (partition by id order by created_at) = 1)"
+_KEYED = f"""
+  k as (select id, title, description, row_number() over (order by created_at, id) as ord, {_TOKENS.format('title')} as t,
+               array_to_string({_TOKENS.format('title')}, ' ') as title_key from {_ONCE})"""
+
+
+def once(spark: SparkSession, d: str) -> DataFrame:
+    """canonical_records, each id once."""
+    return table(spark, d, "canonical_records").dropDuplicates(["id"])
+
+
+def _code(c: str):
+    return F.when(F.try_parse_json(c).isNotNull(), F.get_json_object(c, "$.code"))
+
+
+def canonical(spark: SparkSession, d: str) -> DataFrame:
+    """canonical_records in the shape of the engine's own records; ``ord`` follows created_at, then id."""
+    none = F.array().cast("array<string>")
+    r = once(spark, d).withColumn("code", _code("canonical_solution"))
+    has = F.coalesce(F.length("code") > 0, F.lit(False))
+    examples = "array<struct<input:string,output:string,explanation:string>>"
+    return r.select(
+        "id", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("description", F.lit("")).alias("description"), text.difficulty(F.col("difficulty")).alias("difficulty"),
+        text.tags(F.col("tags")).alias("tags"), F.array().cast(examples).alias("examples"), none.alias("constraints"), F.lit("{}").alias("input_schema"),
+        F.lit("{}").alias("output_schema"), F.lit(0.0).alias("schema_inference_confidence"),
+        F.when(has, F.struct(none.alias("languages"), F.array(F.sha2("code", 256)).alias("code_hashes"), text.code_signature(F.col("code")).alias("ast_signature"), F.col("code").alias("code"))).alias("canonical_solution"),
+        has.alias("has_solution"), F.lit(False).alias("is_premium"), F.lit(False).alias("data_unavailable"), policy.license_meta(F.lit("mit")).alias("license_meta"),
+        F.col("source_list"), none.alias("aliases"), F.lit(None).cast("string").alias("deduplicated_into"), F.lit(1).alias("version"),
+        F.array().cast("array<struct<step:string,detail:string>>").alias("history"),
+        # created_at has microseconds; ids that share one are told apart by a hash, so no global sort is needed
+        (F.unix_micros("created_at") * 1024 + F.pmod(F.xxhash64("id"), F.lit(1024))).alias("ord"),
+    )
+
+
+# ---- text
+
+
+@query(rf"select id, {_STRIP.format(r"regexp_replace(regexp_replace(regexp_replace(coalesce(description, ''), '<[^>]+>', ' ', 'g'), '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10)||chr(10), 'g')")} as cleaned from {_ONCE}")
+def clean_text(spark, d):
+    return once(spark, d).select("id", text.clean_text(F.col("description"), entities=False).alias("cleaned"))
+
+
+@query(f"select id, {_case(text.DIFFICULTIES, 'lower(' + _STRIP.format('difficulty') + ')', chr(39) + 'unknown' + chr(39))} as level from {_ONCE}")
+def difficulty(spark, d):
+    return once(spark, d).select("id", text.difficulty(F.col("difficulty")).alias("level"))
+
+
+@query(
+    f"""select id, case when len(x) = 0 then 'unknown' else array_to_string(list_sort(list_distinct(x)), '|') end as canonical_tags from (
+      select id, list_filter(list_transform(coalesce(tags, []), lambda t: {_case(text.TAGS, "regexp_replace(lower(trim(t)), '[^a-z0-9]', '', 'g')", "replace(replace(lower(trim(t)), ' ', '-'), '_', '-')")}), lambda t: t <> '') as x from {_ONCE})"""
+)
+def tags(spark, d):
+    return once(spark, d).select("id", _strings(text.tags(F.col("tags"))).alias("canonical_tags"))
+
+
+@query(f"select doc_id, len(x) as n_tokens, len(list_distinct(x)) as n_distinct, x[1] as first_token from (select doc_id, {_TOKENS.format('text')} as x from documents)")
+def tokenize(spark, d):
+    t = table(spark, d, "documents").select("doc_id", text.tokens(F.col("text")).alias("x"))
+    return t.select("doc_id", F.size("x").alias("n_tokens"), F.size(F.array_distinct("x")).alias("n_distinct"), F.get("x", F.lit(0)).alias("first_token"))
+
+
+@query(f"select id, array_to_string({_TOKENS.format('title')}, ' ') as title_key from {_ONCE}")
+def title_key(spark, d):
+    return once(spark, d).select("id", text.title_key(F.col("title")).alias("title_key"))
+
+
+@query(rf"select id, sha256(lower({_STRIP.format("coalesce(title, '')")}) || chr(10) || lower({_STRIP.format("coalesce(description, '')")})) as content_hash from {_ONCE}")
+def content_hash(spark, d):
+    return once(spark, d).select("id", text.content_hash(F.col("title"), F.col("description")).alias("content_hash"))
+
+
+_CODE_SQL = "case when json_valid(canonical_solution) then json_extract_string(canonical_solution, '$.code') end"
+
+
+@query(
+    rf"""select id, case when code is null or code = '' then '' else sha256({_STRIP.format(r"regexp_replace(regexp_replace(code, '(?m)#.*$', '', 'g'), '[\s\x{A0}\x{2000}-\x{200A}\x{3000}]+', ' ', 'g')")}) end as signature
+    from (select id, {_CODE_SQL} as code from {_ONCE})"""
+)
+def code_signature(spark, d):
+    return once(spark, d).select("id", text.code_signature(_code("canonical_solution")).alias("signature"))
+
+
+@query(
+    r"""with t as (select distinct title from canonical_records), b as (select title, lower(trim(regexp_replace(title, '\s+(?:(?:I{1,3}|IV|V|VI)|Part\s+\d+|Part\s+(?:One|Two|Three|Four|Five))\s*$', '', 'i'))) as base from t)
+    select base, count(*) as n_titles from b where base <> '' group by base having count(distinct lower(trim(title))) > 1"""
+)
+def sequel_groups(spark, d):
+    t = table(spark, d, "canonical_records").select("title").distinct().withColumn("base", F.lower(F.trim(F.regexp_replace("title", text.SEQUEL, ""))))
+    return t.where("base <> ''").groupBy("base").agg(F.count("*").alias("n_titles"), F.countDistinct(F.lower(F.trim("title"))).alias("k")).where("k > 1").drop("k")
+
+
+_EXAMPLE_SQL = "list_transform(list_slice(coalesce(examples, []), 1, 2), lambda e: 'Input: ' || coalesce(e.input, '') || chr(10) || 'Output: ' || coalesce(e.output, ''))"
+
+
+@query(
+    f"""select id, seq_no, md5(concat_ws(chr(10), {_STRIP.format("coalesce(title, '')")}, nullif({_STRIP.format("substring(description, 1, 2000)")}, ''), nullif(array_to_string({_EXAMPLE_SQL}, chr(10)), ''))) as text_md5 from new_records"""
+)
+def compose_text(spark, d):
+    return table(spark, d, "new_records").select("id", "seq_no", F.md5(text.compose_text(F.col("title"), F.col("description"), F.col("examples"))).alias("text_md5"))
+
+
+@query("select id, coalesce(fingerprints.content_hash, '') as content_hash from new_records")
+def problem_hash(spark, d):
+    return table(spark, d, "new_records").select("id", F.coalesce("fingerprints.content_hash", F.lit("")).alias("content_hash"))
+
+
+# ---- policy and validation
+
+
+@query(
+    f"""select source_name, k not in {policy.PERMISSIVE} and k not in {policy.INTERNAL} as requires_legal_review, k in {policy.PERMISSIVE} as public_allowed, k not in {policy.PERMISSIVE} as internal_use_only
+    from (select source_name, lower(trim(coalesce(nullif(license, ''), 'unknown'))) as k from sources)"""
+)
+def license_policy(spark, d):
+    m = policy.license_meta(F.col("license"))
+    return table(spark, d, "sources").select("source_name", m["requires_legal_review"].alias("requires_legal_review"), m["public_allowed"].alias("public_allowed"), m["internal_use_only"].alias("internal_use_only"))
+
+
+_REVIEWED = f"""
+  r as (select id, {_STRIP.format("coalesce(title, '')")} as t, coalesce(description, '') as dd, {_case(text.DIFFICULTIES, 'lower(' + _STRIP.format('difficulty') + ')', chr(39) + 'unknown' + chr(39))} as level, coalesce(tags, []) as tags from {_ONCE}),
+  v as (select id, list_filter([case when t = '' then 'missing title' end,
+      case when {_STRIP.format('dd')} = '' then 'missing description' when length(dd) < 20 then 'description shorter than 20 chars' when length(dd) > 20000 then 'description longer than 20000 chars' end,
+      case when level = 'unknown' then 'difficulty unknown/unnormalized' end, case when len(list_filter(tags, lambda x: x <> '' and x <> 'unknown')) = 0 then 'no tags inferred' end,
+      'no examples to infer schema from'], lambda x: x is not null) as reasons from r)"""
+
+
+def _validated(spark, d):
+    return validate(canonical(spark, d))
+
+
+@query(f"with {_REVIEWED} select id, array_to_string(reasons, '; ') as reasons, true as needs_review from v")
+def validation_flags(spark, d):
+    return _validated(spark, d).select("id", F.array_join("validation.reasons", "; ").alias("reasons"), F.col("validation.needs_review").alias("needs_review"))
+
+
+@query(f"with {_REVIEWED} select unnest(reasons) as reason, count(*) as n from v group by 1")
+def review_histogram(spark, d):
+    return _validated(spark, d).select(F.explode("validation.reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+# ---- vectors
+
+
+@query("select vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::double * x))), 5) as length, len(embedding) as n from embeddings")
+def vector_norms(spark, d):
+    return table(spark, d, "embeddings").select("vec_id", F.round(vectors.norm(F.col("embedding")), 5).alias("length"), F.size("embedding").alias("n"))
+
+
+_CENTROIDS = """
+  flat as (select label, generate_subscripts(embedding, 1) as pos, unnest(embedding)::double as x from embeddings),
+  means as (select label, pos, avg(x) as m, count(*) as n from flat group by label, pos),
+  cents as (select label, max(n) as size, list(m order by pos) as centroid from means group by label)"""
+
+
+def _members(spark, d):
+    return table(spark, d, "embeddings").withColumnRenamed("vec_id", "id")
+
+
+@query(f"with {_CENTROIDS} select label, size, round(list_sum(centroid), 6) as total, round(centroid[1], 6) as first_value from cents")
+def centroids(spark, d):
+    c = P.centroids(_members(spark, d))
+    return c.select("label", "size", F.round(F.aggregate("centroid", F.lit(0.0), lambda s, x: s + x), 6).alias("total"), F.round(F.element_at("centroid", 1), 6).alias("first_value"))
+
+
+_COS = "list_dot_product({0}::double[], {1}::double[]) / (sqrt(list_dot_product({0}::double[], {0}::double[])) * sqrt(list_dot_product({1}::double[], {1}::double[])))"
+
+
+@query(
+    f"""with {_CENTROIDS}, s as (select label, vec_id, round({_COS.format('embedding', 'centroid')}, 9) as cos from embeddings join cents using (label))
+    select label, arg_min(vec_id, struct_pack(far := -cos, id := vec_id)) as representative, round(max(cos), 6) as similarity from s group by label"""
+)
+def representative(spark, d):
+    m = _members(spark, d)
+    return P.representatives(m, P.centroids(m)).withColumn("similarity", F.round("similarity", 6))
+
+
+@query(
+    f"""with {_CENTROIDS}, s as (select vec_id, c.label, {_COS.format('embedding', 'centroid')} as cos from embeddings cross join cents c)
+    select vec_id as id, arg_max(label, cos) as label, round(max(cos), 5) as similarity from s group by vec_id"""
+)
+def nearest_centroid(spark, d):
+    m = _members(spark, d)
+    return P.nearest_centroid(m, P.centroids(m)).withColumn("similarity", F.round("similarity", 5))
+
+
+_USABLE = "len({0}) = 128 and len(list_filter({0}, lambda x: x is null)) = 0 and len(list_filter({0}, lambda x: x <> 0)) > 0"
+
+
+def _fingerprints(spark, d):
+    f = table(spark, d, "fingerprints").where(vectors.usable(F.col("nl_embedding"), 128)).dropDuplicates(["record_id"])
+    return f.select(F.col("record_id").alias("id"), F.col("nl_embedding").alias("embedding"), "content_hash")
+
+
+def _patterns(spark, d):
+    return table(spark, d, "patterns").where(vectors.usable(F.col("centroid"), 128))
+
+
+@query(
+    f"""with f as (select distinct record_id, nl_embedding from fingerprints where {_USABLE.format('nl_embedding')}), p as (select pattern_id, centroid from patterns where {_USABLE.format('centroid')}),
+    s as (select record_id, pattern_id, {_COS.format('nl_embedding', 'centroid')} as cos from f cross join p)
+    select record_id as problem_id, case when max(cos) >= 0.8 then arg_max(pattern_id, cos) end as pattern_id, round(max(cos), 5) as confidence from s group by record_id"""
+)
+def assign_snapshot(spark, d):
+    return P.assign_snapshot(_fingerprints(spark, d), _patterns(spark, d)).withColumn("confidence", F.round("confidence", 5))
+
+
+@query()
+def assign_sequential(spark, d):
+    rows = _fingerprints(spark, d).withColumn("ord", F.xxhash64("id"))
+    return P.assign_sequential(rows, _patterns(spark, d)).withColumn("confidence", F.round("confidence", 5))
+
+
+@query()
+def updated_centroids(spark, d):
+    f = _fingerprints(spark, d)
+    got = P.assign_snapshot(f, _patterns(spark, d)).where("pattern_id is not null")
+    return P.updated_centroids(got, f, _patterns(spark, d)).select("pattern_id", "size", F.round(F.element_at("centroid", 1), 5).alias("first_value"))
+
+
+@query(
+    """select f.record_id as problem_id from (select distinct record_id, content_hash from fingerprints) f
+    where record_id not in (select problem_id from pattern_assignments where problem_id is not null)
+      and (content_hash is null or content_hash not in (select f2.content_hash from fingerprints f2 join pattern_assignments a on a.problem_id = f2.record_id where f2.content_hash is not null))"""
+)
+def unassigned(spark, d):
+    f = table(spark, d, "fingerprints").select(F.col("record_id").alias("id"), "content_hash", F.lit("t").alias("title"))
+    a = table(spark, d, "pattern_assignments").where("problem_id is not null")
+    hashes = f.join(a, F.col("id") == F.col("problem_id"), "left_semi").select("content_hash")
+    return P.unassigned(f, a, hashes).select(F.col("id").alias("problem_id"))
+
+
+@query()
+def noise_reassigned(spark, d):
+    m = _members(spark, d)
+    return P.reassign_noise(m.select("id", "embedding"), m.select("id", F.when(F.col("label") == 0, -1).otherwise(F.col("label")).alias("label")))
+
+
+@query()
+def density_clusters(spark, d):
+    return P.cluster(table(spark, d, "embeddings"), id_col="vec_id")
+
+
+@query(
+    """select count(*) as n_records, count(distinct case when label > 0 then label end) as n_clusters, count(*) filter (label > 0) as clustered_records, count(*) filter (label = 0) as outliers,
+    round(count(*) filter (label = 0) / count(*), 4) as outlier_rate from embeddings"""
+)
+def outlier_metrics(spark, d):
+    return P.mining_metrics(_members(spark, d).select("id", (F.col("label") - 1).alias("label")))
+
+
+# ---- summaries
+
+
+def _by_source(spark, d):
+    return canonical(spark, d).withColumn("label", F.element_at("source_list", 1)).withColumn("keep", F.lit(1))
+
+
+@query(
+    f"""with x as (select source_list[1] as label, lower(trim(unnest(tags))) as t from {_ONCE}), c as (select label, t, count(*) as n from x where t <> '' group by all),
+    k as (select label, n, row_number() over (partition by label order by n desc) as r from c) select label, string_agg(n::varchar, ',' order by r) as tag_counts from k where r <= 6 group by label"""
+)
+def top_tags(spark, d):
+    rows = once(spark, d).select(F.element_at("source_list", 1).alias("label"), F.xxhash64("id").alias("ord"), "tags")
+    top = P.top_tags(rows).select("label", F.posexplode("top_tags").alias("r", "t"))
+    counts = rows.select("label", F.explode("tags").alias("t")).withColumn("t", F.lower(F.trim("t"))).groupBy("label", "t").agg(F.count("*").alias("n"))
+    return top.join(counts, ["label", "t"]).groupBy("label").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("r", "n"))), lambda s: s["n"].cast("string")), ",").alias("tag_counts"))
+
+
+@query(f"select source_list[1] as label, case when lower(trim(coalesce(difficulty, ''))) = '' then 'unknown' else lower(trim(difficulty)) end as difficulty, count(*) as n from {_ONCE} group by all")
+def difficulty_histogram(spark, d):
+    return P.difficulty_histogram(once(spark, d).withColumn("label", F.element_at("source_list", 1)))
+
+
+@query()
+def cluster_labels(spark, d):
+    rows = once(spark, d).select(F.element_at("source_list", 1).alias("label"), "title", "tags", F.unix_micros("created_at").alias("ord"))
+    t, k = P.top_tags(rows), P.title_ngrams(rows)
+    return t.join(k, "label", "full_outer").select("label", P.label(F.col("top_tags"), F.col("keywords")).alias("name"))
+
+
+@query()
+def mined_patterns(spark, d):
+    e = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("id"), F.col("vec_id").alias("ord"), "embedding")
+    p, _, _ = mine(e.withColumns({"title": F.concat(F.lit("vector "), "id"), "tags": F.array(F.lit("vector")), "difficulty": F.lit(None).cast("string")}))
+    return p.select("pattern_id", "label", "size", "representative")
+
+
+# ---- deduplication
+
+
+@query(f"with {_KEYED}, m as (select title_key, min(ord) as first, count(*) as n from k where title_key <> '' group by title_key) select title_key, n - 1 as duplicates from m where n > 1")
+def title_key_dedup(spark, d):
+    k = dedup.keyed(canonical(spark, d).withColumn("signature", F.lit("")))
+    m = dedup.title_matches(k).join(k.select("ord", "title_key"), "ord")
+    return m.groupBy("title_key").agg(F.count("*").alias("duplicates"))
+
+
+_TFIDF = f"""
+  {_KEYED}, x as (select id, unnest(regexp_extract_all(lower(concat_ws(' ', coalesce(title, ''), coalesce(description, ''))), '[a-z0-9]+')) as term from k),
+  tf as (select id, term, count(*) as tf from x group by all), df as (select term, count(*) as df from tf group by term), n as (select count(*) as n from k),
+  raw as (select id, term, tf * (ln((n + 1) / (df + 1)) + 1) as raw from tf join df using (term) cross join n),
+  w as (select id, term, raw / sqrt(sum(raw * raw) over (partition by id)) as w from raw)"""
+
+
+@query(f"with {_TFIDF} select id, term, round(w, 6) as w from w")
+def tfidf_weights(spark, d):
+    r = canonical(spark, d)
+    return dedup.tfidf(r).join(r.select("ord", "id"), "ord").select("id", "term", F.round("w", 6).alias("w"))
+
+
+@query(
+    f"""with {_TFIDF}, s as (select id, {_CODE_SQL} as code from {_ONCE}),
+    sig as (select id, case when code is null or code = '' then '' else sha256({_STRIP.format(r"regexp_replace(regexp_replace(code, '(?m)#.*$', '', 'g'), '[\s\x{A0}\x{2000}-\x{200A}\x{3000}]+', ' ', 'g')")}) end as signature from s),
+    first as (select title_key, min(ord) as o from k group by title_key),
+    v as (select k.id, k.ord, k.title, list_distinct(k.t) as t, list_distinct(list_slice({_TOKENS.format('k.description')}, 1, 50)) as dt, signature,
+            lower(trim(regexp_replace(k.title, '\\s+(?:(?:I{{1,3}}|IV|V|VI)|Part\\s+\\d+|Part\\s+(?:One|Two|Three|Four|Five))\\s*$', '', 'i'))) as base
+          from k join sig using (id) left join first using (title_key) where k.title_key = '' or k.ord = first.o),
+    tok as (select ord, unnest(t) as tok from v), ok as (select * from tok where tok not in {tuple(text.BLOCKING_STOPWORDS)}),
+    p as (select distinct a.ord as ao, b.ord as bo from ok a join ok b using (tok) where a.ord < b.ord),
+    j as (select a.id as aid, b.id as bid, a.signature <> '' and a.signature = b.signature as code,
+            len(list_intersect(a.t, b.t)) / (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t))) as tj,
+            case when len(a.dt) = 0 or len(b.dt) = 0 then 0 else len(list_intersect(a.dt, b.dt)) / (len(a.dt) + len(b.dt) - len(list_intersect(a.dt, b.dt))) end as dj
+          from p join v a on a.ord = ao join v b on b.ord = bo where not (a.base <> '' and a.base = b.base and lower(trim(a.title)) <> lower(trim(b.title)))),
+    c as (select aid, bid, any_value(code) as code, any_value(tj) as tj, any_value(dj) as dj, coalesce(sum(x.w * y.w), 0) as cos
+          from j left join w x on x.id = aid left join w y on y.id = bid and y.term = x.term where tj >= 0.25 group by aid, bid),
+    s2 as (select least(aid, bid) as a, greatest(aid, bid) as b, case when tj >= 0.8 and dj >= 0.6 then 'token_jaccard' when cos >= 0.9 then 'embedding' when code then 'code_ast' end as stage from c)
+    select * from s2 where stage is not null"""
+)
+def near_dup_edges(spark, d):
+    r = canonical(spark, d).withColumn("signature", F.col("canonical_solution.ast_signature"))
+    k = cut(dedup.keyed(r), "keys")
+    e = dedup.edges(r, k.join(dedup.title_matches(k), "ord", "left_anti"))
+    ids = k.select("ord", "id")
+    named = e.join(ids.select(F.col("ord").alias("a"), F.col("id").alias("x")), "a").join(ids.select(F.col("ord").alias("b"), F.col("id").alias("y")), "b")
+    return named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "stage")
+
+
+@query()
+def near_dup_resolution(spark, d):
+    r = canonical(spark, d).withColumn("signature", F.col("canonical_solution.ast_signature"))
+    ids = r.select("ord", "id")
+    m = dedup.find_duplicates(r)
+    named = m.join(ids.withColumnRenamed("id", "duplicate"), "ord").join(ids.select(F.col("ord").alias("canonical_ord"), F.col("id").alias("canonical")), "canonical_ord")
+    return named.select("canonical", "duplicate", "stage", F.round("score", 6).alias("score"))
+
+
+@query()
+def consolidated_records(spark, d):
+    done = dedup_records(canonical(spark, d))
+    return done.select("id", "title", "deduplicated_into", "version", "has_solution", _strings(F.col("source_list")).alias("sources"), _strings(F.col("tags")).alias("tags"), F.size("aliases").alias("n_aliases"))
+
+
+@query()
+def ingest_metrics(spark, d):
+    return metrics_of(validate(dedup_records(canonical(spark, d))))
+
+
+# ---- stores and joins
+
+
+@query("select distinct id, title, version from records where deduplicated_into is null")
+def stored_records(spark, d):
+    return stored(table(spark, d, "records")).select("id", "title", "version").distinct()
+
+
+@query("select version + 1 as version, count(*) as n from (select distinct id, source_name, raw_file, raw_offset, version from records) group by version")
+def upsert_rerun(spark, d):
+    """All records upserted onto themselves: no id changes, every version goes up by one."""
+    r = table(spark, d, "records").dropDuplicates(["id"])
+    again = r.withColumn("id", F.concat(F.lit("again-"), "id")).withColumn("version", F.lit(1))
+    out = upsert_records(r, again)
+    return out.where("id not like 'again-%'").groupBy("version").agg(F.count("*").alias("n"))
+
+
+@query("select r.id as record_id, count(a.pattern_id) as n_patterns from (select distinct id from records) r left join pattern_assignments a on a.problem_id = r.id group by r.id")
+def record_patterns(spark, d):
+    r, a = table(spark, d, "records").select("id").distinct(), table(spark, d, "pattern_assignments")
+    return r.join(a, r.id == a.problem_id, "left").groupBy(F.col("id").alias("record_id")).agg(F.count("pattern_id").alias("n_patterns"))
+
+
+@query(
+    """select distinct r.id, coalesce(a.pattern_id, 'Outlier') as pattern_id, coalesce(p.label, 'Outlier') as pattern_label from (select distinct id from records) r
+    left join (select problem_id, max(pattern_id) as pattern_id from pattern_assignments group by problem_id) a on a.problem_id = r.id left join patterns p using (pattern_id)"""
+)
+def questions(spark, d):
+    a = table(spark, d, "pattern_assignments").groupBy("problem_id").agg(F.max("pattern_id").alias("pattern_id"))
+    return views.questions(table(spark, d, "records").select("id").distinct(), a, table(spark, d, "patterns"))
+
+
+_REPS = "(select id, any_value(title) as title from records group by id)"
+
+
+@query(
+    f"""select pattern_id, size, representative from (select p.*, r.title from patterns p left join {_REPS} r on r.id = p.representative)
+    where lower(label) like '%tree%' or lower(top_tags) like '%tree%' or lower(title) like '%tree%' or pattern_id like '%tree%'"""
+)
+def pattern_search(spark, d):
+    p = table(spark, d, "patterns").withColumn("top_tags", F.from_json("top_tags", "array<string>"))
+    return views.search_patterns(p, table(spark, d, "records").dropDuplicates(["id"]), "tree", limit=0).select("pattern_id", "size", "representative")
+
+
+@query("select pattern_id, size from patterns order by size desc nulls last, pattern_id limit 10")
+def largest_patterns(spark, d):
+    return table(spark, d, "patterns").orderBy(F.desc_nulls_last("size"), "pattern_id").limit(10).select("pattern_id", "size")
+
+
+@query("select a.pattern_id, a.problem_id, r.title from pattern_assignments a left join (select distinct id, title from records) r on r.id = a.problem_id where a.pattern_id = 'pattern_1'")
+def pattern_detail(spark, d):
+    r = table(spark, d, "records").dropDuplicates(["id"]).withColumns({"difficulty": F.lit(None).cast("string"), "description": F.lit("")})
+    out = views.pattern_detail("pattern_1", table(spark, d, "patterns").dropDuplicates(["pattern_id"]), table(spark, d, "pattern_assignments"), r.select("id", "title", "difficulty", "description"))
+    return out.select("pattern_id", "problem_id", F.when(F.col("title") != F.coalesce("problem_id", F.lit("")), F.col("title")).alias("title"))
+
+
+@query("select s.source_name, count(r.id) as n, coalesce(min(s.trust_rank), 0) as rank from sources s left join (select distinct id, source_name from records) r using (source_name) group by s.source_name")
+def source_counts(spark, d):
+    r = table(spark, d, "records").select("id", "source_name").distinct()
+    return table(spark, d, "sources").join(r, "source_name", "left").groupBy("source_name").agg(F.count("id").alias("n"), F.coalesce(F.min("trust_rank"), F.lit(0)).alias("rank"))
+
+
+# ---- templates, sandbox
+
+
+@query(f"select id, sha256(id || ':' || p || ':v1') as seed, p as pattern from (select id, coalesce(nullif(array_to_string(list_slice(list_filter(tags, lambda t: t <> '' and t <> 'unknown'), 1, 3), '-'), ''), 'unclassified') as p from {_ONCE})")
+def transform_seed(spark, d):
+    r = once(spark, d).withColumn("p", T.pattern_label(F.lit(None).cast("string"), F.col("tags")))
+    return r.select("id", T.transform_seed(F.col("id"), F.col("p")).alias("seed"), F.col("p").alias("pattern"))
+
+
+@query(f"select id, k as variant, sha256(id || ':' || sha256(id) || ':' || k) as seed from {_ONCE}, range(0, 8) t(k)")
+def variant_seeds(spark, d):
+    r = once(spark, d).select("id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))).alias("variant"))
+    return r.select("id", "variant", T.variant_seed(F.col("id"), F.sha2("id", 256), F.col("variant")).alias("seed"))
+
+
+@query(r"select id, md5(case when regexp_extract(x, '(?s)\{.*\}') <> '' then regexp_extract(x, '(?s)\{.*\}') else x end) as block_md5 from (select distinct id, trim(payload) as x from records)")
+def extract_json_block(spark, d):
+    """Of each payload inside a code fence."""
+    r = table(spark, d, "records").select("id", "payload").distinct()
+    return r.select("id", F.md5(T.json_block(F.concat(F.lit("```json\n"), "payload", F.lit("\n```")))).alias("block_md5"))
+
+
+@query()
+def schema_inference(spark, d):
+    s = schemas_of("examples")
+    return table(spark, d, "new_records").select("id", "seq_no", s.alias("s")).select("id", "seq_no", "s.*")
+
+
+@query()
+def entry_points(spark, d):
+    return once(spark, d).select("id", S.entry_points(_code("canonical_solution")).alias("e")).select("id", "e.kind", "e.name", F.size("e.params").alias("n_params"))
+
+
+def _solved(spark, d):
+    """records with code and examples out of the payload."""
+    r = table(spark, d, "records").dropDuplicates(["id"]).where(F.try_parse_json("payload").isNotNull())
+    get = lambda p: F.get_json_object("payload", p)
+    return r.select(
+        "id", "payload", get("$.canonical_solution.code").alias("code"), F.from_json(get("$.canonical_solution.languages"), "array<string>").alias("languages"),
+        F.from_json(get("$.examples"), "array<struct<input:string,output:string,explanation:string>>").alias("examples"), F.from_json(get("$.tags"), "array<string>").alias("tags"),
+    )
+
+
+@query()
+def sandbox_runs(spark, d):
+    return S.sandbox(_solved(spark, d).repartition(16, "id"), timeout=5.0).select("id", "outcome", "entry_point", "n_cases", "n_passed")
+
+
+def _echo() -> ScriptedClient:
+    """A client that gives the problem back as a template."""
+    import json
+
+    def answer(prompt: str) -> str:
+        spec = json.JSONDecoder().raw_decode(prompt[prompt.index("SPEC:\n") + 6 :])[0]["canonical_problem"]
+        return json.dumps({"title": spec["title"], "description": str(spec["description"]), "sample_public_tests": spec["examples"][:1], "tie_breaker": "the first"})
+
+    return ScriptedClient(answer)
+
+
+@query()
+def template_run(spark, d):
+    r = _solved(spark, d).select("id", F.col("payload").alias("record"), T.pattern_label(F.lit(None).cast("string"), F.col("tags")).alias("pattern"), F.lit(False).alias("data_unavailable"))
+    out = T.run_templates(r.repartition(16, "id"), _echo, count=1)
+    return out.select(F.col("canonical_problem_id").alias("id"), "status", "attempts", F.size("variants").alias("n_variants"))
+
+
+# ---- scans: the new records written as files and read again
+
+
+def _written(df: DataFrame, kind: str) -> str:
+    path = f"{shared_dir(df.sparkSession)}/scan-{kind}-{uuid.uuid4().hex}"
+    writer = df.write.option("header", True).option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    getattr(writer, "json" if kind == "jsonl" else kind)(path)
+    return path
+
+
+_NAMED = "from new_records where title is not null and title <> ''"
+
+
+@query(f"select title, coalesce(nullif(description, ''), '') as description, coalesce(len(tags), 0) as n_tags, coalesce(len(examples), 0) as n_examples {_NAMED}")
+def jsonl_scan(spark, d):
+    path = _written(table(spark, d, "new_records").select("title", "description", "difficulty", "tags", "examples"), "jsonl")
+    return read(spark, Source("jsonl", path, "new")).select("title", "description", F.size("tags").alias("n_tags"), F.size("examples_raw").alias("n_examples"))
+
+
+@query(f"select title, md5(replace(coalesce(description, ''), chr(13), '')) as description_md5, list_sort(list_filter(tags, lambda t: t <> ''))[1] as first_tag {_NAMED}")
+def csv_scan(spark, d):
+    path = _written(table(spark, d, "new_records").select("title", "description", F.array_join("tags", ",").alias("topics")), "csv")
+    return read(spark, Source("csv", path, "new")).select("title", F.md5(F.regexp_replace("description", "\r", "")).alias("description_md5"), F.get(F.sort_array("tags"), F.lit(0)).alias("first_tag"))
+
+
+@query("select count(*) as n, sum(len(coalesce(examples, [])))::bigint as n_examples from new_records")
+def problems_scan(spark, d):
+    rows = read_problems(spark, _lines(spark, d))
+    return rows.agg(F.count("*").alias("n"), F.sum(F.json_array_length(F.get_json_object("problem", "$.examples"))).cast("long").alias("n_examples"))
+
+
+def _lines(spark, d) -> str:
+    rows = table(spark, d, "new_records").select(F.to_json(F.struct("id", F.coalesce("examples", F.array().cast("array<struct<input:string,output:string>>")).alias("examples"))).alias("value"))
+    path = f"{shared_dir(spark)}/scan-{uuid.uuid4().hex}.jsonl"
+    rows.write.text(path)
+    return path
+
+
+@query("select date_trunc('hour', ts) as window_start, event_type, count(*) as n, round(sum(value), 4) as total from events group by all")
+def streamed_windows(spark, d):
+    """The events as a stream, counted by hour and type."""
+    from ..streaming.jobs import windowed_counts
+
+    name = f"windows_{uuid.uuid4().hex}"
+    out = f"{shared_dir(spark)}/{name}"
+    schema = table(spark, d, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    job = windowed_counts(stream, late="36500 days").writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", out).trigger(availableNow=True).start()
+    job.awaitTermination()
+    return spark.table(name).select("window_start", "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query()
+def snapshot_store(spark, d):
+    """The patterns written to a store twice; the second time replaces the first."""
+    store = Snapshots(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}", PATTERN)
+    p = table(spark, d, "patterns").withColumns({"top_tags": F.from_json("top_tags", "array<string>"), "difficulty": F.from_json("difficulty_json", "map<string,bigint>")})
+    store.upsert(p, ["pattern_id"])
+    store.upsert(p.withColumn("size", F.col("size") + 1), ["pattern_id"])
+    return store.read().select("pattern_id", "label", "size").orderBy("pattern_id")
 
 
 def queries() -> dict:
-    return {}
+    return dict(_Q)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
