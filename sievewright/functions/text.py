@@ -119,7 +119,7 @@ def jaccard(a: Column, b: Column) -> Column:
 def compose_text(title: Column, description: Column, examples: Column) -> Column:
     """The text that is embedded: title, 2000 characters of description, two examples."""
     some = F.transform(
-        F.slice(F.coalesce(examples, F.array().cast("array<struct<input:string,output:string>>")), 1, 2),
+        F.slice(examples, 1, 2),
         lambda e: F.concat(F.lit("Input: "), F.coalesce(e["input"], F.lit("")), F.lit("\nOutput: "), F.coalesce(e["output"], F.lit(""))),
     )
     none = lambda c: F.nullif(c, F.lit(""))
