@@ -48,6 +48,16 @@ def drop(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def apart(df: DataFrame, key: str) -> DataFrame:
+    """``df`` partitioned otherwise than by ``key``, so that a join by it shuffles both sides.
+
+    Adaptive execution splits a hot key's rows only in a join of two shuffles; an
+    aggregation by the join's own key would else be joined in place, with all rows
+    of the key in one task.
+    """
+    return df.repartition(F.xxhash64(F.col(key)))
+
+
 def filled(col):
     """The string without blanks around it, null where nothing is left."""
     return F.nullif(F.regexp_replace(col, r"(?U)^\s+|\s+$", ""), F.lit(""))

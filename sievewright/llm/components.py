@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop, filled
+from .common import apart, cut, drop, filled
 
 
 def links_of(matches: DataFrame, a: str = "canonical", b: str = "duplicate") -> DataFrame:
@@ -47,7 +47,7 @@ def hash_to_min(links: DataFrame) -> DataFrame:
     while True:
         least = state.groupBy("v").agg(F.min("u").alias("m"))
         sent = (
-            state.join(least, "v")
+            state.join(apart(least, "v"), "v")
             .select(F.explode(F.array(pair("m", "u"), pair("u", "m"))).alias("p"))
             .select("p.v", "p.u")
             .distinct()

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop
+from .common import apart, cut
 
 #: All letters and digits of Unicode lie below; what lies above is no letter.
 TOP = 0x32400
@@ -208,7 +208,7 @@ def formatting_duplicates(
     rows = records.select(
         F.col(id_col).cast("string").alias("id"), F.col(title_col).alias("title"), F.col(solution_col).alias("solution")
     ).mapInArrow(_hashed(hash_bits), "id string, title string, code string, k0 long, k1 long, k2 long, k3 long")
-    found, paths = None, []
+    found = None
     while True:
         first = (
             rows.groupBy(*KEYS)
@@ -216,13 +216,12 @@ def formatting_duplicates(
             .where("last > f.id")
             .select(*KEYS, F.col("f.id").alias("rep"), F.col("f.title").alias("rep_title"), F.col("f.code").alias("rep_code"))
         )
-        compared, path = cut(
-            rows.join(first, KEYS)
+        compared, _ = cut(
+            rows.join(apart(first, "k0"), KEYS)
             .select("id", "title", "code", "rep", "rep_title", "rep_code")
             .mapInArrow(_compared, "id string, rep string, same boolean"),
             "folding",
         )
-        paths.append(path)
         good = compared.where("same").select("id", "rep")
         found = good if found is None else found.unionByName(good)
         other = compared.where("not same").select("id").distinct()
@@ -231,4 +230,4 @@ def formatting_duplicates(
         rows = rows.join(other, "id", "left_semi")
     by_id = found.groupBy("id").agg(F.min("rep").alias("group_id"))
     sizes = by_id.groupBy("group_id").agg(F.count("*").alias("n_copies")).where("n_copies > 1")
-    return by_id.join(sizes, "group_id").select(F.col("id").alias("record_id"), "group_id", "n_copies")
+    return by_id.join(apart(sizes, "group_id"), "group_id").select(F.col("id").alias("record_id"), "group_id", "n_copies")
