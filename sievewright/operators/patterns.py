@@ -427,3 +427,17 @@ def embed(texts: DataFrame, model_of, dim: int, batch_size: int = 64, id_col: st
 
     rows = texts.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).where("trim(id) <> '' and trim(text) <> ''")
     return rows.mapInArrow(run, "id string, embedding array<float>")
+
+
+def cached_embeddings(texts: DataFrame, cache: DataFrame, embed_rows) -> tuple[DataFrame, DataFrame]:
+    """(vectors of all texts, the cache grown by the new ones).
+
+    ``cache``: (text_hash, embedding). Only texts whose hash isn't there go through
+    ``embed_rows``, a function from (id, text) rows to (id, embedding) rows, each
+    distinct text once.
+    """
+    hashed = texts.select(F.col("id").cast("string").alias("id"), "text", F.sha2("text", 256).alias("text_hash")).where("id is not null and text is not null")
+    fresh = hashed.join(cache, "text_hash", "left_anti").groupBy("text_hash").agg(F.first("text").alias("text"))
+    new = cut(embed_rows(fresh.select(F.col("text_hash").alias("id"), "text")).withColumnRenamed("id", "text_hash"), "embedded")
+    grown = cache.select("text_hash", "embedding").unionByName(new.select("text_hash", "embedding"))
+    return hashed.select("id", "text_hash").join(grown, "text_hash").select("id", "embedding"), grown

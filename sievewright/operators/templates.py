@@ -282,6 +282,25 @@ def rejection_histogram(results: DataFrame) -> DataFrame:
     return bad.groupBy(reason_category(F.col("reason")).alias("category")).agg(F.count("*").alias("n"))
 
 
+def template_rows(results: DataFrame) -> DataFrame:
+    """The accepted templates as rows of ``schemas.TEMPLATE``."""
+    columns = ("template_id", "canonical_problem_id", "pattern", "transform_seed", "template", "signature_hash", "needs_review", "reasons", "attempts")
+    return results.where("status = 'accepted'").select(*columns)
+
+
+def variant_rows(results: DataFrame) -> DataFrame:
+    """The accepted templates' variants as rows of ``schemas.VARIANT``; templates without any give none."""
+    return results.where("status = 'accepted'").select("template_id", F.explode("variants").alias("v")).select("template_id", "v.*")
+
+
+def rejections(results: DataFrame, records: DataFrame) -> DataFrame:
+    """What was not accepted, with the record's title and difficulty; unknown where the record is gone."""
+    r = records.select(F.col("id").alias("canonical_problem_id"), "title", "difficulty")
+    return results.where("status <> 'accepted'").join(r, "canonical_problem_id", "left").select(
+        "canonical_problem_id", "status", "reasons", F.coalesce("title", F.lit("Unknown")).alias("title"), F.coalesce("difficulty", F.lit("unknown")).alias("difficulty")
+    )
+
+
 def link_patterns(patterns: DataFrame, results: DataFrame) -> DataFrame:
     """Patterns with the template last accepted for them; those without one keep theirs."""
     last = results.where("status = 'accepted'").groupBy(F.col("pattern").alias("pattern_id")).agg(F.max_by("template_id", "canonical_problem_id").alias("t"))

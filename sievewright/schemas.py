@@ -30,3 +30,8 @@ PATTERN = (
     "difficulty map<string,bigint>, centroid array<float>, created_at timestamp, template_id string"
 )
 ASSIGNMENT = ("problem_id string, pattern_id string, confidence double, assigned_at timestamp")
+TEMPLATE = (
+    "template_id string, canonical_problem_id string, pattern string, transform_seed string, template string, signature_hash string, "
+    "needs_review boolean, reasons array<string>, attempts int"
+)
+VARIANT = "template_id string, variant_seed string, args string, canonical_output string, signature_hash string"

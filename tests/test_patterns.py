@@ -89,6 +89,15 @@ def test_embedding_stand_in_and_model(spark):
     assert sorted(r.id for r in got) == ["a", "b"]
 
 
+def test_cached_embeddings(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "y"), ("d", None)], "id string, text string")
+    none = spark.createDataFrame([], "text_hash string, embedding array<float>")
+    got, grown = P.cached_embeddings(df, none, lambda rows: P.hashed_vectors(rows, 8))
+    assert sorted(r.id for r in got.collect()) == ["a", "b", "c"] and grown.count() == 2
+    again, more = P.cached_embeddings(df, grown, lambda rows: P.hashed_vectors(rows.where("id = 'none'"), 8))
+    assert again.count() == 3 and more.count() == 2
+
+
 def test_command_line(spark, tmp_path, capsys):
     import json
 

@@ -82,6 +82,9 @@ def test_template_run_gates_and_reports(spark):
     out = T.run_templates(df, lambda: ScriptedClient(script=[answer]), done, count=1).persist()
     assert T.template_metrics(out).first().asDict() == {"processed": 3, "accepted": 2, "rejected_malformed": 0, "rejected_validation_failed": 1, "failed_call": 0, "needs_review": 0, "variants": 2, "acceptance_rate": 0.6667}
     assert {(r.category, r.n) for r in T.rejection_histogram(out).collect()} == {("data unavailable", 1)}
+    assert (T.template_rows(out).count(), T.variant_rows(out).count()) == (2, 2)
+    gone = T.rejections(out, spark.createDataFrame([], "id string, title string, difficulty string")).collect()
+    assert [(r.canonical_problem_id, r.title, r.difficulty) for r in gone] == [("r2", "Unknown", "unknown")]
     p = spark.createDataFrame([("p1", None), ("p2", "old")], "pattern_id string, template_id string")
     linked = {r.pattern_id: r.template_id for r in T.link_patterns(p, out).collect()}
     assert linked["p1"] and linked["p2"] == "old"
