@@ -33,7 +33,8 @@ def keyed(records: DataFrame) -> DataFrame:
 def title_matches(keys: DataFrame) -> DataFrame:
     """``(canonical_ord, ord)`` of records whose title has an earlier one's tokens; titles without a token match none."""
     first = keys.where("title_key <> ''").groupBy("title_key").agg(F.min("ord").alias("canonical_ord"))
-    return keys.join(first, "title_key").where("ord > canonical_ord").select("canonical_ord", "ord")
+    # partitioned otherwise, so that both sides are shuffled and a hot title is split
+    return keys.join(first.repartition(F.xxhash64("canonical_ord")), "title_key").where("ord > canonical_ord").select("canonical_ord", "ord")
 
 
 def tfidf(records: DataFrame) -> DataFrame:
@@ -41,8 +42,8 @@ def tfidf(records: DataFrame) -> DataFrame:
     terms = records.select("ord", F.explode(text.tokens(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit(""))))).alias("term"))
     tf = terms.groupBy("ord", "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    n = records.agg(F.count("*").alias("n"))
-    raw = tf.join(df, "term").crossJoin(F.broadcast(n)).withColumn("raw", F.col("tf") * (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1))
+    n = records.count()
+    raw = tf.join(df, "term").withColumn("raw", F.col("tf") * (F.log((F.lit(n) + 1) / (F.col("df") + 1)) + 1))
     norms = raw.groupBy("ord").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
     return raw.join(norms, "ord").select("ord", "term", "df", (F.col("raw") / F.col("norm")).alias("w"))
 

@@ -129,18 +129,20 @@ def choose_clusters(n: int, merges: list[tuple[int, int, float, int]], min_size:
     return labels
 
 
-def cluster(vectors: DataFrame, min_cluster_size: int = 10, id_col: str = "id", vector_col: str = "embedding") -> DataFrame:
+def cluster(vectors: DataFrame, min_cluster_size: int = 10, id_col: str = "id", vector_col: str = "embedding", max_rows: int = 100_000) -> DataFrame:
     """``(id, label)``: density clusters under cosine distance; -1 is noise, fewer rows than a cluster are all noise.
 
     Of every pair of blocks of rows one task makes a minimum spanning tree; the
     union of these trees holds the tree of all rows, so distances are computed once
-    in parallel and only tree edges travel. Condensing the tree, which has one edge
-    a row, is sequential and happens on the driver: the operator is meant for up to
-    some ten million rows; beyond, use the ``llm`` package's clusters. Labels are
-    numbered by their smallest id.
+    in parallel and only tree edges travel. Condensing the tree is sequential and
+    happens on the driver, which takes at most ``max_rows`` distinct ids; more raise
+    an error, and their clusters are better mined from a part and the rest assigned
+    by :func:`assign_snapshot`. Labels are numbered by their smallest id.
     """
     rows = cut(vectors.select(F.col(id_col).cast("string").alias("id"), F.col(vector_col).cast("array<float>").alias("x")).where("id is not null and size(x) > 0").dropDuplicates(["id"]), "vectors")
     n = rows.count()
+    if n > max_rows:
+        raise ValueError(f"{n} vectors are more than the {max_rows} that are clustered at once")
     if n < min_cluster_size:
         return rows.select("id", F.lit(-1).alias("label"))
     blocks = -(-n // BLOCK)
