@@ -13,7 +13,7 @@ from ..operators.clients import ScriptedClient
 from ..operators.normalize import schemas_of, validate
 from ..schemas import PATTERN
 from ..sources.readers import Source, read, read_problems
-from ..tables import TRACE, Snapshots, cut, shared_dir, stored, upsert_records
+from ..tables import Snapshots, cut, shared_dir, stored, upsert_records
 from .ingest import dedup_records, metrics_of
 from .mining import mine
 
