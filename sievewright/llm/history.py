@@ -1,10 +1,11 @@
 """Problem 3: new batches deduplicated against all history.
 
-Every batch becomes an immutable segment: a sparse suffix array over its records'
-words, cut into shards by how its suffixes begin. A new batch looks its own suffixes
-up by binary search, the words matched are added up for each pair of records, and
-the pairs are then checked exactly. Segments of like size are merged, so there are
-about as many as the logarithm of the batches' number.
+Every batch becomes an immutable segment of an inverted index: of each record the
+rarest words, one of which any record similar enough must share (prefix filtering),
+cut into shards by word. A new batch meets the records under its own rarest words; what
+sizes, places of the word and word bitmaps can't rule out is checked exactly, so no
+pair is lost. Segments of like size are merged, so there are about as many as the
+logarithm of the batches' number.
 """
 
 from __future__ import annotations
@@ -22,20 +23,14 @@ from pyspark.sql import functions as F
 
 from .common import WORD, apart, cut, drop
 
-#: Words of a window, of which the rarest begins a suffix that is kept; words a match
-#: has at least, then those it must have where that many records or more share its beginning.
-SPAN, MATCH, LONGER, LONGEST, MANY = 6, 3, 6, 12, 64
-#: Records with fewer distinct words than this are matched by their rarest words instead.
-SHORT = 24
-#: Earlier records that one of a crowded beginning is paired with at first; then eight times as many.
-FEW = 4
-#: Words of matches that a pair has at least: two matches, or one of a short record's rarest words.
-COVERED = 2 * MATCH
+#: Earlier records a new one is paired with at first under each word; then eight times as many.
+FEW = 8
 #: Pairs whose records' numbers are broadcast; with more they are shuffled.
 BROADCAST_PAIRS = 500_000
-#: Suffixes in a shard, about.
-SHARD = 200_000
-_TAIL = LONGEST - MATCH
+#: Entries in a shard, about.
+SHARD = 500_000
+#: Bits of a record's bitmap, in words of 64; new records and pairs compared at once.
+BITS, BLOCK, PAIRS = 256, 64, 1 << 20
 _MARKUP = re.compile(r"<[^<>]*>")
 _known: dict[str, int] = {}
 
@@ -122,90 +117,66 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def suffixes(lists: list[list[int]], words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(record, hash of the first ``MATCH`` words, the next words in 16 bits each) of the suffixes kept.
+def prefixes(lists: list[list[int]], words: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
+    """(record, word, place) of each record's rarest words, the distinct words of all, and their bitmaps.
 
-    In every window of ``SPAN`` words the rarest begins one; so any two records that
-    share ``SPAN + MATCH - 1`` consecutive words share a suffix kept, and boilerplate
-    begins few. Short records add one entry for each of the rarest words that a
-    record 0.6 alike must share one of.
+    The rarest n - ceil(threshold x n) + 1 of n distinct words: two records that are
+    ``threshold`` alike share at least one of them, whatever the order of words is, as
+    long as it is the same for all records.
     """
     lens = np.fromiter(map(len, lists), np.int64, len(lists))
     flat = np.fromiter((w for r in lists for w in r), np.int64, int(lens.sum()))
-    start = np.cumsum(lens) - lens
+    owner = np.repeat(np.arange(len(lists)), lens)
+    order = np.lexsort((flat, owner))
+    flat, owner = flat[order], owner[order]
+    once = np.ones(len(flat), bool)
+    once[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
+    flat, owner = flat[once], owner[once]
     rank = _mix(flat) >> np.uint64(2)
     if len(words):
         k = np.minimum(np.searchsorted(words, flat), len(words) - 1)
         often = words[k] == flat
         rank[often] = np.uint64(1 << 62) + counts[k[often]].astype(np.uint64) * np.uint64(1 << 20) + (rank[often] >> np.uint64(44))
-    padded = np.concatenate([flat, np.zeros(LONGEST + SPAN, np.int64)])
-    ranks = np.concatenate([rank, np.full(SPAN, np.uint64(2**64 - 1))])
-    spans = np.lib.stride_tricks.sliding_window_view(ranks, SPAN)[: len(flat)]
-    owner = np.repeat(np.arange(len(lists)), lens)
-    left = (start + lens)[owner] - np.arange(len(flat))
-    inside = left >= np.minimum(SPAN, lens[owner])
-    least = np.where(left[:, None] > np.arange(SPAN), spans, np.uint64(2**64 - 1)).argmin(1)
-    at = np.unique((np.arange(len(flat)) + least)[inside])
-    place = at[:, None] + np.arange(LONGEST)
-    w = np.where(np.arange(LONGEST) < left[at][:, None], padded[place], 0)
-    ends = (_mix(np.add.reduceat(_mix(flat), start) if len(flat) else flat) >> np.uint64(1)).astype(np.int64)  # no two records' ends match
-    w[:, MATCH:] = np.where(np.arange(MATCH, LONGEST) < left[at][:, None], w[:, MATCH:], ends[owner[at]][:, None] + np.arange(MATCH, LONGEST))
-    gram = np.zeros(len(at), np.uint64)
-    for j in range(MATCH):
-        gram = _mix(gram ^ w[:, j].astype(np.uint64))
-    tail = (_mix(w[:, MATCH:]) >> np.uint64(48)).astype(">u2")
-    rec, gram = [owner[at]], [gram]
-    tails = [np.ascontiguousarray(tail).view(f"S{2 * _TAIL}").ravel()]
-    for r in np.flatnonzero(lens < 4 * SHORT):
-        own, first = np.unique(flat[start[r] : start[r] + lens[r]], return_index=True)
-        if len(own) < SHORT / 0.6:
-            order = np.lexsort((own, rank[start[r] + first]))[: len(own) - int(np.ceil(0.6 * len(own) - 1e-9)) + 1]
-            rec.append(np.full(len(order), r))
-            gram.append(_mix(own[order] ^ 0x5A5A5A5A))
-            tails.append(np.zeros(len(order), f"S{2 * _TAIL}"))
-    return np.concatenate(rec), np.concatenate(gram), np.concatenate(tails)
-
-
-ENTRIES = "shard int, gram long, tail binary, rec long, ord long, size int"
-
-
-def entries(classes: DataFrame, words: np.ndarray, counts: np.ndarray, shards: int, hot: np.ndarray) -> DataFrame:
-    """The classes' suffixes; those that begin as ``hot`` ones are sharded by their longer beginning."""
-    shared = classes.sparkSession.sparkContext.broadcast((words, counts, hot))
+    size = np.bincount(owner, minlength=len(lists))
+    bits = np.zeros((len(lists), BITS), bool)
+    bits[owner, (flat >> 20) % BITS] = True
+    order = np.lexsort((flat, rank, owner))
+    flat, owner = flat[order], owner[order]
+    place = np.arange(len(flat)) - (np.cumsum(size) - size)[owner]
+    kept = place <= (size - np.ceil(threshold * size - 1e-9))[owner]
+    return owner[kept], flat[kept], place[kept], size, np.packbits(bits, axis=1)
+
+
+ENTRIES = "shard int, rec long, size int, bits binary, grams array<long>, places array<int>"
+
+
+def entries(classes: DataFrame, words: np.ndarray, counts: np.ndarray, shards: int, threshold: float) -> DataFrame:
+    """The classes' rarest words, one row for each shard that a class has words in."""
+    shared = classes.sparkSession.sparkContext.broadcast((words, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, c, hot_ = shared.value
         for whole in batches:
             for batch in (whole.slice(i, 2000) for i in range(0, whole.num_rows, 2000)):
-                lists = batch.column(0).to_pylist()
-                rec, gram, tail = suffixes(lists, w, c)
-                long_ = np.isin(gram, hot_)
-                key = gram.copy()
-                for j in range(LONGEST - MATCH):
-                    key[long_] = _mix(key[long_] ^ tail[long_].view(np.uint8).reshape(-1, 2 * _TAIL)[:, 2 * j].astype(np.uint64) ^ (tail[long_].view(np.uint8).reshape(-1, 2 * _TAIL)[:, 2 * j + 1].astype(np.uint64) << np.uint64(8)))
-                at = pa.array(rec)
-                size = np.fromiter((len(set(r)) for r in lists), np.int32, len(lists))
-                fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * _TAIL), len(tail), [None, pa.py_buffer(np.ascontiguousarray(tail).tobytes())])
+                own, gram, place, size, bits = prefixes(batch.column(0).to_pylist(), *shared.value, threshold)
+                shard = gram % shards
+                order = np.lexsort((shard, own))
+                own, gram, place, shard = own[order], gram[order], place[order], shard[order]
+                begin = np.flatnonzero(np.diff(_runs(own, shard), prepend=-1))
+                offsets = pa.array(np.append(begin, len(own)).astype(np.int32))
+                at = own[begin]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((key % np.uint64(shards)).astype(np.int32)), pa.array(gram.view(np.int64)), fixed.cast(pa.binary())]
-                    + [batch.column(1).take(at), batch.column(2).take(at), pa.array(size[rec])],
-                    names=["shard", "gram", "tail", "rec", "ord", "size"],
+                    [
+                        pa.array(shard[begin].astype(np.int32)),
+                        batch.column(1).take(pa.array(at)),
+                        pa.array(size[at].astype(np.int32)),
+                        pa.array([bits[k].tobytes() for k in at], pa.binary()),
+                        pa.ListArray.from_arrays(offsets, pa.array(gram)),
+                        pa.ListArray.from_arrays(offsets, pa.array(place.astype(np.int32))),
+                    ],
+                    names=["shard", "rec", "size", "bits", "grams", "places"],
                 )
 
-    return classes.select("words", "rec", "ord").mapInArrow(run, ENTRIES)
-
-
-def hot_beginnings(classes: DataFrame, words: np.ndarray, counts: np.ndarray, sample: int = 20_000) -> np.ndarray:
-    """Beginnings of suffixes that more than one in 500 of a sample of at most ``sample`` records have.
-
-    They only decide where suffixes are compared, not which match: what is hot has
-    more than ``MANY`` records, so its matches must be longer anyway.
-    """
-    got = classes.select("words").orderBy("rec").limit(sample).toArrow().column(0).to_pylist()
-    rec, gram, _ = suffixes(got, words, counts) if got else (np.zeros(0, int), np.zeros(0, np.uint64), None)
-    pairs = np.unique(np.stack([gram, rec.astype(np.uint64)]), axis=1)
-    found, n = np.unique(pairs[0], return_counts=True)
-    return found[n > max(MANY, len(got) // 500)]
+    return classes.select("words", "rec").mapInArrow(run, ENTRIES)
 
 
 def _runs(*columns: np.ndarray) -> np.ndarray:
@@ -216,80 +187,99 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return np.cumsum(new) - 1
 
 
-def _look_up(first_new: int, lo: int, hi: int):
-    """Pairs of a new record and an earlier one that share a suffix's beginning, with the words matched.
+def _look_up(threshold: float, lo: int, hi: int):
+    """Pairs of an asking record and an earlier one that share a rare word and may be similar.
 
-    ``lo`` and ``hi``: which of the earlier records of a crowded beginning, in
-    their order, are paired; a row with ``r`` -1 names a beginning that has more.
+    A pair is ruled out only by what can't be otherwise: by the words that are left
+    after the first shared one, and by bits that differ, each of which takes a word
+    that differs. ``lo`` and ``hi``: which of the earlier records that are left under
+    a word, in their order, are paired; where there are more, a row names the next
+    one as ``-1 - r``.
     """
+    share = threshold / (1 + threshold)  # of both sizes together, that similar records have in common
 
     def run(table: pa.Table) -> pa.Table:
-        gram, rec, ord_, size, best = (table.column(c).to_numpy() for c in ("gram", "rec", "ord", "size", "best"))
-        tail = np.frombuffer(b"".join(table.column("tail").to_pylist()), np.uint8).reshape(-1, 2 * _TAIL)
-        order = np.lexsort((rec, ord_, *[tail[:, j] for j in range(2 * _TAIL - 1, -1, -1)], gram))  # the suffix array
-        gram, rec, ord_, size, tail, best = gram[order], rec[order], ord_[order], size[order], tail[order], best[order]
-        half = 2 * (LONGER - MATCH)
-        words16 = np.ascontiguousarray(tail).view(">u2")
-        bare = ~tail.any(1)  # entries of short records' rarest words
-        levels = [_runs(gram)]
-        levels.append(_runs(gram, *[words16[:, j] for j in range(half // 2)]))
-        levels.append(_runs(gram, *[words16[:, j] for j in range(_TAIL)]))
-        out_q, out_r, out_n, crowds = [], [], [], []
-        todo = np.ones(len(gram), bool)
-        for depth, (group, matched) in enumerate(zip(levels, (MATCH, LONGER, LONGEST))):
-            n = np.bincount(group[todo], minlength=(group[-1] + 1) if len(group) else 0)
-            last = depth == 2
-            rows = np.flatnonzero(todo & ((n[group] <= MANY) | last))
-            todo[rows] = False
-            rows = rows[np.lexsort((rec[rows], ord_[rows], group[rows]))]
-            g = group[rows]
-            begin = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, int)
-            count = np.diff(np.append(begin, len(g)))
-            first = np.repeat(begin, count)
-            place = np.arange(len(g)) - first
-            crowded = np.repeat(count, count) > MANY
-            new = ord_[rows] >= first_new
-            a = np.where(crowded, np.minimum(lo, place), 0 if lo == 0 else place)
-            b = np.where(crowded, np.minimum(hi, place), place)
-            some = np.flatnonzero(new & (b > a))
-            m = (b - a)[some]
-            q = np.repeat(some, m)
-            r = np.repeat(first[some] + a[some], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-            q, r = rows[q], rows[r]
-            sooner = ord_[r] < best[q]
-            q, r = q[sooner], r[sooner]
-            words_ = np.where(bare[q], COVERED, matched)
-            alike = (rec[q] != rec[r]) & (np.minimum(size[q], size[r]) >= 0.6 * np.maximum(size[q], size[r]) - 1e-9)
-            out_q.append(rec[q[alike]]), out_r.append(rec[r[alike]]), out_n.append(words_[alike])
-            next_ = rows[np.minimum(first + hi, len(rows) - 1)] if len(rows) else rows
-            more = rows[np.flatnonzero(new & crowded & (place > hi) & (ord_[next_] < best[rows]))]
-            crowds.append(np.unique(gram[more]))
-        crowd = np.unique(np.concatenate(crowds))  # of which there are more records than were paired
-        q, r, n = (np.concatenate(c) for c in (out_q, out_r, out_n))
-        return pa.table({"q": np.concatenate([q, crowd]).astype(np.int64), "r": np.concatenate([r, np.full(len(crowd), -1)]).astype(np.int64), "n": np.concatenate([n, np.zeros(len(crowd), int)]).astype(np.int32)})
+        rec_, size_, ask_, best_ = (table.column(c).to_numpy() for c in ("rec", "size", "ask", "best"))
+        bits_ = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(rec_), -1)
+        grams = table.column("grams").combine_chunks()
+        row = np.repeat(np.arange(len(rec_)), grams.value_lengths().to_numpy())
+        gram = grams.flatten().to_numpy()
+        place = table.column("places").combine_chunks().flatten().to_numpy()
+        order = np.lexsort((rec_[row], gram))
+        row, gram, place = row[order], gram[order], place[order]
+        rec, size, ask, best = rec_[row], size_[row].astype(np.int64), ask_[row], best_[row]
+        spare = (1 - share) * size - place + 1e-6  # a similar record has at most spare / share words
+        begin = np.flatnonzero(np.diff(_runs(gram), prepend=-1)) if len(gram) else np.zeros(0, np.int64)
+        count = np.diff(np.append(begin, len(gram)))
+        asking = np.add.reduceat(ask.astype(np.int64), begin) if len(gram) else begin
+        large = asking * count > 4096
+        out_q, out_r = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+        def keep(q: np.ndarray, r: np.ndarray) -> None:
+            """Takes pairs of entries, by ``q`` and then in the order of ``r``."""
+            may = (rec[r] < rec[q]) & (rec[r] < best[q]) & (spare[q] >= share * size[r]) & (spare[r] >= share * size[q])
+            q, r = q[may], r[may]
+            first = np.flatnonzero(np.diff(q, prepend=-1))
+            n = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
+            now, next_ = (n >= lo) & (n < hi), n == hi
+            out_q.extend((rec[q[now]], rec[q[next_]]))
+            out_r.extend((rec[r[now]], -1 - rec[r[next_]]))
+
+        some = np.flatnonzero(ask & np.repeat(~large, count))
+        start = np.repeat(begin, count)
+        for part in np.split(some, np.flatnonzero(np.diff(np.cumsum(some - start[some]) // PAIRS)) + 1):
+            m = part - start[part]
+            q = np.repeat(part, m)
+            r = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m - start[part], m)
+            fit = (spare[q] >= share * size[r]) & (spare[r] >= share * size[q])
+            q, r = q[fit], r[fit]
+            differ = np.bitwise_count(bits_[row[q]] ^ bits_[row[r]]).sum(1, dtype=np.int64)
+            near = differ <= (1 - 2 * share) * (size[q] + size[r]) + 1e-6
+            keep(q[near], r[near])
+        for a, n in zip(begin[large], count[large]):
+            own = np.arange(a, a + n)
+            mine, columns = own[ask[own]], np.ascontiguousarray(bits_[row[own]].T)
+            mine = mine[np.argsort(size[mine], kind="stable")]
+            for q in (mine[k : k + BLOCK] for k in range(0, len(mine), BLOCK)):
+                fit = (spare[own] >= share * size[q[0]]) & (share * size[own] <= spare[q].max()) & (rec[own] < rec[q].max())
+                r, theirs = own[fit], columns[:, fit]
+                most = np.minimum((1 - 2 * share) * (size[q[-1]] + size[r]) + 1e-6, 255).astype(np.uint8)
+                for k in range(0, len(r), PAIRS // BLOCK):
+                    part = slice(k, k + PAIRS // BLOCK)
+                    differ = np.zeros((len(q), len(r[part])), np.uint8)  # all 256 bits would count as none, which keeps the pair
+                    for mine_, their in zip(bits_[row[q]].T, theirs):
+                        differ += np.bitwise_count(mine_[:, None] ^ their[part])
+                    i, j = np.nonzero(differ <= most[part])
+                    if k == 0:
+                        pairs = [(i, j)]
+                    else:
+                        pairs.append((i, j + k))
+                if len(r):
+                    i, j = (np.concatenate(c) for c in zip(*pairs))
+                    o = np.lexsort((j, i))
+                    keep(q[i[o]], r[j[o]])
+        q, r = np.concatenate(out_q), np.concatenate(out_r)
+        q, r = np.unique(np.stack([q, r]), axis=1) if len(q) else (q, r)
+        return pa.table({"q": q, "r": r})
 
     return run
 
 
-def _sorted(rows: DataFrame) -> DataFrame:
-    """The suffix array: shards side by side, suffixes in their order."""
-    return rows.repartition("shard").sortWithinPartitions("shard", "gram", "tail")
-
-
 class History:
     """An index of accepted records that batches are checked against and added to.
 
-    ``segments``: sharded suffix arrays as tables in the shared folder, each with
-    its level; ``classes``: the records they hold, those of equal words as one.
-    Which words are frequent, and so where suffixes begin, is fixed by the first
-    batch, so later ones never touch old segments but to merge them.
+    ``segments``: sharded inverted indexes as tables in the shared folder, each with
+    its level; ``classes``: the records they hold, those of equal words as one,
+    numbered in their order (``rec``). Which words are frequent, and so the order of
+    words, is fixed by the first batch, so later ones never change old segments but
+    to merge them.
     """
 
     def __init__(self, spark: SparkSession, threshold: float = 0.6):
         self.spark, self.threshold = spark, threshold
         self.classes: list[DataFrame] = []
         self.segments: list[tuple[int, DataFrame, str]] = []
-        self.words = self.counts = self.hot = None
+        self.words = self.counts = None
         self.shards, self.seen = 1, 0
 
     def _collapse(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -298,8 +288,8 @@ class History:
             rows.groupBy("key")
             .agg(F.min_by(F.struct("id", "new", "seq", "words"), _order()).alias("f"), F.count("*").alias("copies"))
             .select("key", "f.*")
-            .withColumn("rec", F.monotonically_increasing_id() + F.lit(self.seen << 40))
-            .withColumn("ord", F.when(F.col("new"), F.col("seq") + 1).otherwise(0))
+            .orderBy(_order())
+            .withColumn("rec", F.monotonically_increasing_id() + F.lit(self.seen << 48))
         )
         return cut(classes, "classes")[0], rows.select("id", "new", "seq", "key").distinct()
 
@@ -311,11 +301,10 @@ class History:
         classes, members = self._collapse(rows)
         if self.words is None:
             self.words, self.counts = frequent_words(classes)
-            self.hot = hot_beginnings(classes, self.words, self.counts)
             n = classes.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
-            self.shards = max(8, int(n * 2 // (SPAN + 1) // SHARD))
+            self.shards = max(8, int(n * (1 - self.threshold) // SHARD))
         self.seen += 1
-        segment, path = cut(_sorted(entries(classes, self.words, self.counts, self.shards, self.hot)), "segment")
+        segment, path = cut(entries(classes, self.words, self.counts, self.shards, self.threshold), "segment")
         self.classes.append(classes)
         found = self._search(segment, members) if search else None
         size = max(1, segment.count())
@@ -324,7 +313,7 @@ class History:
             found, _ = cut(found, "repeats")  # before a merge removes what it reads
         while len(self.segments) > 1 and self.segments[-1][0] >= self.segments[-2][0]:
             (_, a, pa_), (_, b, pb) = self.segments.pop(), self.segments.pop()
-            merged, path = cut(_sorted(a.unionByName(b)), "segment")
+            merged, path = cut(a.unionByName(b), "segment")
             drop(self.spark, pa_), drop(self.spark, pb)
             self.segments.append((merged.count().bit_length(), merged, path))
         return found
@@ -336,49 +325,50 @@ class History:
         return out
 
     def _checked(self, raw: DataFrame, classes: DataFrame) -> DataFrame:
-        """The pairs of which enough is covered and that are alike in truth."""
-        covered = raw.where("r >= 0").groupBy("q", "r").agg(F.sum("n").alias("covered"))
-        pairs, _ = cut(covered.where(F.col("covered") >= COVERED).select("q", "r"), "pairs")
+        """The pairs that are alike in truth, with the earlier record's id."""
+        pairs, _ = cut(raw.where("r >= 0").select("q", "r").distinct(), "pairs")
         met = pairs.select(F.explode(F.array("q", "r")).alias("rec")).distinct()
         met = F.broadcast(met) if pairs.count() <= BROADCAST_PAIRS else met
-        sets, _ = cut(classes.join(met, "rec", "left_semi").select("rec", F.array_distinct("words").alias("set")), "sets")
-        both = pairs.join(sets.select(F.col("rec").alias("q"), F.col("set").alias("a")), "q").join(sets.select(F.col("rec").alias("r"), F.col("set").alias("b")), "r")
+        sets, _ = cut(classes.join(met, "rec", "left_semi").select("rec", "id", F.array_distinct("words").alias("set")), "sets")
+        both = pairs.join(sets.select(F.col("rec").alias("q"), F.col("set").alias("a")), "q").join(sets.select(F.col("rec").alias("r"), "id", F.col("set").alias("b")), "r")
         both = both.withColumn("i", F.size(F.array_intersect("a", "b")))
         alike = F.col("i") >= (F.size("a") + F.size("b") - F.col("i")) * F.lit(self.threshold) - 1e-9
-        return cut(both.where(alike).select("q", "r"), "similar")[0]
+        return cut(both.where(alike).select("q", "r", "id"), "similar")[0]
 
     def _search(self, segment: DataFrame, members: DataFrame) -> DataFrame:
-        # what is looked up gets an order after all history; within the batch its own order holds
-        new = segment.withColumn("ord", F.col("ord") + (1 << 60))
-        every = new
+        never = F.lit(2**63 - 1)
+        every = segment.withColumn("ask", F.lit(True))
         for _, s, _ in self.segments:
-            every = every.unionByName(s)
+            every = every.unionByName(s.withColumn("ask", F.lit(False)))
         classes = self._all_classes()
         known = classes.select("rec", "id", "new", "seq", "key")
-        never = F.lit(2**63 - 1)
         look, lo, hi, best = every.withColumn("best", never), 0, FEW, None
         while True:
-            raw, _ = cut(look.groupBy("shard").applyInArrow(_look_up(1 << 60, lo, hi), "q long, r long, n int"), "matches")
+            raw, _ = cut(look.groupBy("shard").applyInArrow(_look_up(self.threshold, lo, hi), "q long, r long"), "matches")
             found = self._checked(raw, classes)
             best = found if best is None else best.unionByName(found)
-            more = raw.where("r < 0").select(F.col("q").alias("gram")).distinct()
+            # who has found records of two ids by now looks only for earlier ones: one of them may be its own
+            two = best.groupBy("q", "id").agg(F.min("r").alias("r")).groupBy("q").agg(F.sort_array(F.collect_list("r")).alias("rs"))
+            two = two.select("q", F.when(F.size("rs") > 1, F.col("rs")[1]).alias("done"))
+            more = raw.where("r < 0").groupBy("q").agg(F.min(-1 - F.col("r")).alias("next")).join(two, "q", "left")
+            more, _ = cut(more.where("done is null or next < done").select(F.col("q").alias("rec"), F.coalesce("done", never).alias("best")), "crowded")
             if more.isEmpty():
                 break
-            # who has found a record by now looks only for earlier ones
-            orders = every.select("rec", "ord").distinct()
-            done = best.join(orders.select(F.col("rec").alias("r"), "ord"), "r").groupBy(F.col("q").alias("rec")).agg(F.min("ord").alias("done"))
-            look, _ = cut(every.join(more, "gram", "left_semi").join(done, "rec", "left").withColumn("best", F.coalesce("done", never)).drop("done"), "crowded")
+            asked = every.drop("ask").join(more, "rec", "left")
+            look = asked.withColumn("ask", F.col("best").isNotNull()).withColumn("best", F.coalesce("best", F.lit(0)))
             lo, hi = hi, hi * 8
         first = (
-            best.join(known.select(F.col("rec").alias("q"), F.col("id").alias("q_id"), F.col("key").alias("q_key")), "q")
+            best.select("q", "r").join(known.select(F.col("rec").alias("q"), F.col("key").alias("q_key")), "q")
             .join(known.select(F.col("rec").alias("r"), "id", "new", "seq"), "r")
-            .where("id <> q_id")
-            .groupBy(F.col("q_key").alias("key"))
+            .groupBy(F.col("q_key").alias("key"), "id")
             .agg(F.min(_order()).alias("other"))
+            .groupBy("key")
+            .agg(F.slice(F.sort_array(F.collect_list("other")), 1, 2).alias("others"))
         )
         # of records with equal words the first stands for all
         heads = classes.groupBy("key").agg(F.min(_order()).alias("head"))
         own = members.join(apart(heads.join(first, "key", "left"), "key"), "key")
+        own = own.withColumn("other", F.get(F.filter("others", lambda o: o["id"] != F.col("id")), F.lit(0)))
         same = F.when(F.struct("new", "seq", "id") > F.col("head"), F.col("head"))
         same = F.when(F.col("id") != F.col("head.id"), same)
         return (
@@ -400,11 +390,8 @@ def repeats(records: DataFrame, new_records: DataFrame, threshold: float = 0.6)
     word or an id take no part; a payload that isn't whole JSON leaves the title.
 
     All new batches form one arrival here; :class:`History` takes them one by one
-    with the same result. Found are pairs that share two suffixes: two runs of 8 words, or
-    one of 14, whose rarest words begin as 64 records at most do, or longer ones
-    (of 12 words more) where more records begin so; and, for records of fewer than
-    24 distinct words, all pairs. A pair of longer texts without such runs isn't
-    found, be it 0.6 alike; in the test data every pair shares six suffixes or more.
+    with the same result. All such pairs are found, whatever the texts' lengths, the
+    order of their words and the number of records alike.
     """
     index = History(records.sparkSession, threshold)
     index.add(history_rows(records), search=False)

@@ -217,3 +217,22 @@ def test_repeats_crowded_and_empty(spark):
     h, n = frames(spark, [], new)
     assert {r.new_id: r.first_id for r in repeats(h, n).collect()} == {f"n{k:03d}": "n000" for k in range(1, 200)}
     assert repeats(h.limit(0), n.limit(0)).count() == 0
+
+
+def test_repeats_scattered_edits_and_reordered_words(spark):
+    """Texts of 40 words and more with every fourth or fifth word replaced, or in another order, share no runs."""
+    rng = random.Random(11)
+    base = [text_of(rng, rng.choice([45, 80, 120])) for _ in range(30)]
+    new = []
+    for k in range(60):
+        words = rng.choice(base).split()
+        if k % 3:
+            words = [f"x{k}y{j}" if j % (3 + k % 3) == 1 else w for j, w in enumerate(words)]
+        else:
+            rng.shuffle(words)
+        new.append((f"n{k:03d}", k, "", " ".join(words)))
+    history = [(f"h{k:03d}", "", t) for k, t in enumerate(base)]
+    expected = brute(history, new)
+    assert len(expected) >= 20
+    h, n = frames(spark, history, new)
+    assert {r.new_id: r.first_id for r in repeats(h, n).collect()} == expected
