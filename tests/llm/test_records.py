@@ -236,3 +236,11 @@ def test_repeats_scattered_edits_and_reordered_words(spark):
     assert len(expected) >= 20
     h, n = frames(spark, history, new)
     assert {r.new_id: r.first_id for r in repeats(h, n).collect()} == expected
+
+
+def test_repeats_of_a_template_with_many_records(spark):
+    """A hundred fillings of one template, a word of their own after every five: all beginnings are crowded."""
+    words = [f"t{j}" for j in range(60)]
+    new = [(f"n{k:03d}", k, "", " ".join(w if j % 5 else f"{w} own{k}x{j}" for j, w in enumerate(words))) for k in range(100)]
+    h, n = frames(spark, [], new)
+    assert {r.new_id: r.first_id for r in repeats(h, n).collect()} == brute([], new) == {f"n{k:03d}": "n000" for k in range(1, 100)}
