@@ -244,3 +244,14 @@ def test_repeats_of_a_template_with_many_records(spark):
     new = [(f"n{k:03d}", k, "", " ".join(w if j % 5 else f"{w} own{k}x{j}" for j, w in enumerate(words))) for k in range(100)]
     h, n = frames(spark, [], new)
     assert {r.new_id: r.first_id for r in repeats(h, n).collect()} == brute([], new) == {f"n{k:03d}": "n000" for k in range(1, 100)}
+
+
+def test_first_of_many_near_copies_in_the_history(spark):
+    """Of 150 stored near copies the one with the smallest id is the first, whatever order they come in."""
+    rng = random.Random(17)
+    body = text_of(rng, 40)
+    history = [(f"h{k:03d}", "", f"{body} extra{k}") for k in range(150)]
+    rng.shuffle(history)
+    new = [(f"n{k}", k, "", f"{body} other{k}") for k in range(5)]
+    h, n = frames(spark, history, new)
+    assert {r.new_id: r.first_id for r in repeats(h, n).collect()} == brute(history, new) == {f"n{k}": "h000" for k in range(5)}
