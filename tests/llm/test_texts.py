@@ -155,6 +155,13 @@ def test_lost_text_is_found(model):
     assert garble.restore(model, "Na�ve caf�")[0] == "lost"
 
 
+def test_repair_with_a_character_met_nowhere_clean(model):
+    """One character that no clean record has doesn't cost the run its repair."""
+    sentence = SENTENCES[4].replace(" ", "\u2e3b", 1)  # a dash of three ems within the first run
+    assert not model.uni[garble._bucket("\u2e3b")]
+    assert garble.restore(model, sentence.encode().decode("latin-1"))[1] == sentence
+
+
 def test_garbled_frame(spark, model):
     bad = SENTENCES[0].encode().decode("cp1252")
     rows = [(1, bad, None, 0), (1, bad, None, 0), (2, SENTENCES[0], None, 0), (3, None, None, 0), (4, "", None, 0), (5, SENTENCES[2] * 3000 + bad, None, 0)]
