@@ -173,3 +173,19 @@ def test_garbled_frame(spark, model):
 def test_index_without_items():
     index = ItemIndex([], [])
     assert len(index.meet(np.zeros((2, 3), np.uint64))[0]) == 0
+
+
+@pytest.mark.parametrize("chain", [("cp1252", "cp1251"), ("cp866", "cp1251"), ("cp1251", "koi8-r")])
+def test_passage_garbled_by_another_chain_in_a_long_clean_line(model, chain):
+    """The line as a whole is likely; a few words of it were read in the wrong encoding."""
+    wrong, right = chain
+    bad = SENTENCES[5].encode(right, "ignore").decode(wrong, "ignore")
+    line = " ".join([SENTENCES[4]] * 20 + ["@"] + [SENTENCES[4]] * 20)
+    good = SENTENCES[5].encode(right, "ignore").decode(right)
+    assert garble.restore(model, line.replace("@", bad))[1] == line.replace("@", good)
+
+
+def test_other_chain_beside_utf8(model):
+    once = SENTENCES[1].encode().decode("cp1252")
+    other = SENTENCES[5].encode("cp1251").decode("cp1252")
+    assert garble.restore(model, once + " " + other)[1] == SENTENCES[1] + " " + SENTENCES[5]
