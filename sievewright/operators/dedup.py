@@ -1,8 +1,8 @@
 """Order-aware deduplication: exact titles, three near-duplicate tests, greedy resolution, merging.
 
-Records carry ``ord``, a total order; the earlier record of a match survives. The
-greedy pass over sorted pairs is the lexicographically first maximal independent
-set of the match graph, found here in rounds.
+Records carry ``ord``, a total order of any type; the earlier record of a match
+survives. The greedy pass over sorted pairs is the lexicographically first maximal
+independent set of the match graph, found here in rounds.
 """
 
 from __future__ import annotations
@@ -16,17 +16,38 @@ from ..functions import text
 from ..tables import cut
 
 TITLE, DESCRIPTION, COSINE, PRUNE, FIRST_TOKENS = 0.8, 0.6, 0.90, 0.25, 50
+#: Rows of a table of terms or tokens that is broadcast; a larger one is shuffled apart from its join.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(df: DataFrame, key: str) -> DataFrame:
+    """A table ready to be joined by ``key``: broadcast where its rows are counted and few.
+
+    Otherwise it is partitioned otherwise than by ``key``, so that both sides of
+    the join are shuffled and adaptive execution can split a hot key.
+    """
+    df = cut(df, "sized")
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df.repartition(F.xxhash64(key))
+
+
+def numbered(records: DataFrame) -> DataFrame:
+    """What deduplication looks at, once computed: ``n`` numbers the records in the order of ``ord``."""
+    rows = records.select("ord", "id", "title", "description", "signature", F.col("deduplicated_into").isNotNull().alias("marked"))
+    return cut(rows.repartitionByRange("ord").sortWithinPartitions("ord").withColumn("n", F.monotonically_increasing_id()), "numbered")
 
 
 def keyed(records: DataFrame) -> DataFrame:
-    """What the tests look at: (ord, id, title, title_key, tokens, first description tokens, signature)."""
+    """What the tests look at: (ord, id, title, title_key, hashed title tokens, hashed first description tokens, signature)."""
+    hashed = lambda c: F.array_distinct(F.transform(c, lambda x: F.xxhash64(x)))
+    toks = text.tokens(F.col("title"))
     return records.select(
         "ord", "id", "title",
         text.title_key(F.col("title")).alias("title_key"),
-        F.array_distinct(text.tokens(F.col("title"))).alias("toks"),
-        F.array_distinct(F.slice(text.tokens(F.col("description")), 1, FIRST_TOKENS)).alias("desc"),
+        hashed(toks).alias("toks"),
+        hashed(F.filter(toks, lambda t: ~t.isin(*text.BLOCKING_STOPWORDS))).alias("blocks"),
+        hashed(F.slice(text.tokens(F.col("description")), 1, FIRST_TOKENS)).alias("desc"),
         F.coalesce(F.col("signature"), F.lit("")).alias("signature"),
-        F.col("deduplicated_into").isNotNull().alias("marked"),
+        (F.col("marked") if "marked" in records.columns else F.col("deduplicated_into").isNotNull()).alias("marked"),
     )
 
 
@@ -38,14 +59,18 @@ def title_matches(keys: DataFrame) -> DataFrame:
 
 
 def tfidf(records: DataFrame) -> DataFrame:
-    """``(ord, term, df, w)``: weights of length 1 over title and description; idf is ln((n+1)/(df+1)) + 1."""
+    """``(ord, term, df, w)``: weights of length 1 over title and description; idf is ln((n+1)/(df+1)) + 1.
+
+    Document frequencies meet their terms by a broadcast or a join of two shuffles
+    (:func:`sized`), so the term that every record has is no single task.
+    """
     terms = records.select("ord", F.explode(text.tokens(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit(""))))).alias("term"))
     tf = terms.groupBy("ord", "term").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
+    df = sized(tf.groupBy("term").agg(F.count("*").alias("df")), "term")
     n = records.count()
     raw = tf.join(df, "term").withColumn("raw", F.col("tf") * (F.log((F.lit(n) + 1) / (F.col("df") + 1)) + 1))
-    norms = raw.groupBy("ord").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return raw.join(norms, "ord").select("ord", "term", "df", (F.col("raw") / F.col("norm")).alias("w"))
+    norms = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("ord")))
+    return raw.select("ord", "term", "df", (F.col("raw") / norms).alias("w"))
 
 
 def candidate_pairs(keys: DataFrame) -> DataFrame:
@@ -54,36 +79,37 @@ def candidate_pairs(keys: DataFrame) -> DataFrame:
     For reports on small tables; :func:`edges` reaches the pairs that matter
     without going through these.
     """
-    tok = keys.select("ord", "toks", F.explode(F.filter("toks", lambda t: ~t.isin(*text.BLOCKING_STOPWORDS))).alias("tok"))
+    tok = keys.select("ord", F.explode("blocks").alias("tok"))
     pairs = (
         tok.select(F.col("ord").alias("a"), "tok").join(tok.select(F.col("ord").alias("b"), "tok"), "tok").where("a < b").select("a", "b").distinct()
     )
-    return _with_titles(pairs, keys).where(F.col("jaccard") >= PRUNE).select("a", "b", "jaccard")
+    return _beside(pairs, keys, "toks").withColumn("jaccard", text.jaccard(F.col("a_toks"), F.col("b_toks"))).where(F.col("jaccard") >= PRUNE).select("a", "b", "jaccard")
 
 
-def _with_titles(pairs: DataFrame, keys: DataFrame) -> DataFrame:
-    left = keys.select(*[F.col(c).alias("a" if c == "ord" else f"a_{c}") for c in ("ord", "title", "toks", "desc", "signature", "marked")])
-    right = keys.select(*[F.col(c).alias("b" if c == "ord" else f"b_{c}") for c in ("ord", "title", "toks", "desc", "signature", "marked")])
-    return pairs.join(left, "a").join(right, "b").withColumn("jaccard", text.jaccard(F.col("a_toks"), F.col("b_toks")))
+def _beside(pairs: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
+    """Pairs with columns of both records, ``a_`` and ``b_`` before their names."""
+    for side in "ab":
+        pairs = pairs.join(keys.select(F.col("ord").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), side)
+    return pairs
 
 
-def _rarest(keys: DataFrame, least: float) -> DataFrame:
+def _rarest(keys: DataFrame, least: float, more: tuple[str, ...] = ()) -> DataFrame:
     """The title tokens of which two titles with that Jaccard share one, by prefix filtering: the rarest of each."""
-    tok = keys.select("ord", F.size("toks").alias("n"), F.explode("toks").alias("tok"))
-    df = tok.groupBy("tok").agg(F.count("*").alias("df"))
+    tok = keys.select("ord", *more, F.size("toks").alias("n"), F.explode("toks").alias("tok"))
+    df = sized(tok.groupBy("tok").agg(F.count("*").alias("df")), "tok")
     place = F.row_number().over(Window.partitionBy("ord").orderBy("df", "tok"))
-    return tok.join(df, "tok").withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).select("ord", "tok")
+    return tok.join(df, "tok").withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).select("ord", "tok", *more)
 
 
 def _heaviest(weights: DataFrame, least: float) -> DataFrame:
     """The terms of which two vectors with that cosine share one: from the rarest, until the rest is shorter than ``least``."""
     rest = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("ord").orderBy("df", "term").rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    return weights.withColumn("rest", rest).where(F.col("rest") >= least * least - 1e-9).select("ord", "term")
+    return weights.withColumn("rest", rest).where(F.col("rest") >= least * least - 1e-9).select("ord", F.xxhash64("term").alias("term"))
 
 
-def _self_pairs(rows: DataFrame, key: str) -> DataFrame:
-    a, b = rows.select(F.col("ord").alias("a"), key), rows.select(F.col("ord").alias("b"), key)
-    return a.join(b, key).where("a < b").select("a", "b")
+def _self_pairs(rows: DataFrame, *key: str) -> DataFrame:
+    a, b = rows.select(F.col("ord").alias("a"), *key), rows.select(F.col("ord").alias("b"), *key)
+    return a.join(b, list(key)).where("a < b").select("a", "b")
 
 
 def edges(records: DataFrame, keys: DataFrame) -> DataFrame:
@@ -91,35 +117,38 @@ def edges(records: DataFrame, keys: DataFrame) -> DataFrame:
 
     Each test finds its candidates by what its threshold forces them to share: one
     of the rarest title tokens (title 0.8), of the heaviest TF-IDF terms (cosine
-    0.90), the code's signature. Any pair must share a title token that is no stop
-    word and a quarter of the titles' tokens, and be no sequels.
+    0.90), the code's signature together with one of the title tokens that 0.25 of
+    both titles forces (so a solution that many records share pairs only those of
+    like titles). Any pair must share a title token that is no stop word and a
+    quarter of the titles' tokens, and be no sequels. Title tokens alone are laid
+    beside the candidates first; all else only beside what is left.
     """
     weights = cut(tfidf(records), "tfidf")
-    alive = keys.select("ord")
+    keys = keys.where("not marked and size(blocks) > 0")
     by_title = _self_pairs(_rarest(keys, TITLE), "tok")
-    by_terms = _self_pairs(_heaviest(weights, COSINE).join(alive, "ord", "left_semi"), "term")
-    by_code = _self_pairs(keys.where("signature <> ''").select("ord", "signature"), "signature")
-    pairs = by_title.unionByName(by_terms).unionByName(by_code).distinct()
-    stop = F.array(*[F.lit(w) for w in text.BLOCKING_STOPWORDS])
-    shared = F.size(F.array_except(F.array_intersect("a_toks", "b_toks"), stop)) > 0
-    pairs = _with_titles(pairs, keys).where(
-        shared & (F.col("jaccard") >= PRUNE) & ~F.col("a_marked") & ~F.col("b_marked") & ~text.is_sequel_pair(F.col("a_title"), F.col("b_title"))
-    )
+    by_terms = _self_pairs(_heaviest(weights, COSINE).join(keys.select("ord"), "ord", "left_semi"), "term")
+    by_code = _self_pairs(_rarest(keys.where("signature <> ''"), PRUNE, ("signature",)), "signature", "tok")
+    pairs = _beside(by_title.unionByName(by_terms).unionByName(by_code).distinct(), keys, "toks", "blocks")
+    pairs = pairs.withColumn("jaccard", text.jaccard(F.col("a_toks"), F.col("b_toks")))
+    pairs = pairs.where((F.col("jaccard") >= PRUNE) & F.arrays_overlap("a_blocks", "b_blocks")).select("a", "b", "jaccard")
+    pairs = _beside(pairs, keys, "title", "desc", "signature").where(~text.is_sequel_pair(F.col("a_title"), F.col("b_title")))
     pairs = cut(
         pairs.select("a", "b", "jaccard", text.jaccard(F.col("a_desc"), F.col("b_desc")).alias("dj"), ((F.col("a_signature") == F.col("b_signature")) & (F.col("a_signature") != "")).alias("code")),
         "pairs",
     )
     first = (F.col("jaccard") >= TITLE) & (F.col("dj") >= DESCRIPTION)
+    w = weights.select("ord", F.xxhash64("term").alias("term"), "w")
     cosine = (
         pairs.where(~first).select("a", "b")
-        .join(weights.select(F.col("ord").alias("a"), "term", F.col("w").alias("x")), "a")
-        .join(weights.select(F.col("ord").alias("b"), "term", F.col("w").alias("y")), ["b", "term"])
+        .join(w.select(F.col("ord").alias("a"), "term", F.col("w").alias("x")), "a")
+        .join(w.select(F.col("ord").alias("b"), "term", F.col("w").alias("y")), ["b", "term"])
         .groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("cosine"))
     )
-    near = F.coalesce(F.col("cosine"), F.lit(0.0)) >= COSINE
+    near = F.coalesce("cosine", F.lit(0.0)) >= COSINE
+    tested = pairs.where(~first).join(cosine, ["a", "b"], "left")
     return (
-        pairs.join(cosine, ["a", "b"], "left")
-        .where(first | near | F.col("code"))
+        pairs.where(first).withColumn("cosine", F.lit(0.0))
+        .unionByName(tested.where(near | F.col("code")))
         .select(
             "a", "b",
             F.when(first, "token_jaccard").when(near, "embedding").otherwise("code_ast").alias("stage"),
@@ -133,7 +162,9 @@ def resolve(pairs: DataFrame) -> DataFrame:
 
     Per round, records without an earlier undecided neighbour survive and their
     later neighbours are duplicates. Duplicates leave the graph, so rounds are as
-    many as the longest chain of decisions; each ends in a table.
+    many as the longest chain of decisions, which for neighbours in random order
+    grows as the squared logarithm of the records (Blelloch, Fineman and Shun,
+    2012); each ends in a table.
     """
     left = pairs.select("a", "b")
     survivors = None
@@ -163,13 +194,18 @@ def find_duplicates(records: DataFrame) -> DataFrame:
 
     Needs ord, id, title, description, signature (may be null) and
     deduplicated_into. Null titles and descriptions count as empty. Empty in,
-    empty out.
+    empty out. Inside, records are longs in their order, whatever ``ord`` is.
     """
-    keys = cut(keyed(records), "keys")
+    rows = numbered(records)
+    work = rows.drop("ord").withColumnRenamed("n", "ord")
+    keys = cut(keyed(work), "keys")
     exact = cut(title_matches(keys), "titles")
     rest = keys.join(exact, "ord", "left_anti")
-    near = resolve(cut(edges(records, rest), "edges"))
-    return exact.select("canonical_ord", "ord", F.lit("title_key").alias("stage"), F.lit(1.0).alias("score")).unionByName(near)
+    near = resolve(cut(edges(work, rest), "edges"))
+    found = exact.select("canonical_ord", "ord", F.lit("title_key").alias("stage"), F.lit(1.0).alias("score")).unionByName(near)
+    name = rows.select(F.col("n").alias("canonical_ord"), F.col("ord").alias("canonical")), rows.select(F.col("n").alias("ord"), F.col("ord").alias("own"))
+    found = found.join(name[0], "canonical_ord").join(name[1], "ord")
+    return found.select(F.col("canonical").alias("canonical_ord"), F.col("own").alias("ord"), "stage", "score")
 
 
 def _absorb(records: DataFrame, matches: DataFrame) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import html
 import json
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from ..functions import policy, text
 from ..functions.values import infer_schema
@@ -26,6 +27,12 @@ def schemas_of(examples: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["input_schema", "output_schema", "confidence"])
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def unescape_all(lists: pd.Series) -> pd.Series:
+    """Every string with its HTML entities resolved."""
+    return lists.map(lambda xs: [x if x is None else html.unescape(x) for x in xs], na_action="ignore")
+
+
 def record_id():
     return F.sha2(F.concat_ws("|", "source_name", F.coalesce("raw_file", F.lit("")), F.coalesce(F.col("raw_offset").cast("string"), F.lit(""))), 256)
 
@@ -34,17 +41,22 @@ def normalize(raw: DataFrame) -> DataFrame:
     """Canonical records of raw problems, before deduplication; ``ord`` is their order of priority.
 
     Ids derive from source, file and offset, so a run repeated gives the same ones.
-    The order is the source's place, then file and offset, as one number that
-    needs no global sort: a hash of the file stands between them.
+    The order is the source's place, then file, then offset (none first), carried
+    as a struct, so no two records that differ in any of them tie.
     """
-    examples = F.transform(
-        F.filter("examples_raw", lambda m: m["input"].isNotNull() & m["output"].isNotNull()),
-        lambda m: F.struct(
+    none = F.array().cast("array<string>")
+    raw = raw.withColumn("examples_raw", F.filter("examples_raw", lambda m: m["input"].isNotNull() & m["output"].isNotNull())).withColumns({
+        "explanations": unescape_all(F.transform("examples_raw", lambda m: m["explanation"])),
+        "constraints": unescape_all(F.coalesce("constraints", none)),
+    })
+    examples = F.zip_with(
+        "examples_raw", "explanations",
+        lambda m, e: F.struct(
             m["input"].alias("input"), m["output"].alias("output"),
-            F.nullif(text.clean_text(m["explanation"], entities=False), F.lit("")).alias("explanation"),
+            F.nullif(text.clean_text(e, entities=False), F.lit("")).alias("explanation"),
         ),
     )
-    cleaned = F.filter(F.transform(F.coalesce("constraints", F.array().cast("array<string>")), lambda c: text.clean_text(c, entities=False)), lambda c: c != "")
+    cleaned = F.filter(F.transform("constraints", lambda c: text.clean_text(c, entities=False)), lambda c: c != "")
     has = F.coalesce(F.length("solution_code") > 0, F.lit(False))
     base = raw.select(
         record_id().alias("id"),
@@ -69,7 +81,7 @@ def normalize(raw: DataFrame) -> DataFrame:
         F.struct("parser", "raw_file", "raw_offset", "commit_hash").alias("ingest_trace"),
         "source_name",
         F.array("source_name").alias("source_list"),
-        (F.col("source_idx").cast("long") * F.lit(1 << 52) + F.pmod(F.xxhash64("raw_file"), F.lit(1 << 20)) * F.lit(1 << 32) + F.coalesce("raw_offset", F.lit(0))).alias("ord"),
+        F.struct("source_idx", "raw_file", "raw_offset").alias("ord"),
     )
     return (
         base.withColumn("s", schemas_of("examples"))

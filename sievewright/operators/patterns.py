@@ -373,8 +373,9 @@ def assign_sequential(problems: DataFrame, patterns: DataFrame, threshold: float
                 names=["problem_id", "pattern_id", "confidence", "is_new", "ord"],
             )
 
-    rows = problems.select(F.col("id").cast("string").alias("id"), "embedding", F.col("ord").cast("long").alias("ord"))
-    return rows.repartition(1).sortWithinPartitions("ord", "id").mapInArrow(fold, "problem_id string, pattern_id string, confidence double, is_new boolean, ord long")
+    rows = problems.select(F.col("id").cast("string").alias("id"), "embedding", "ord")
+    kind = problems.schema["ord"].dataType.simpleString()
+    return rows.repartition(1).sortWithinPartitions("ord", "id").mapInArrow(fold, f"problem_id string, pattern_id string, confidence double, is_new boolean, ord {kind}")
 
 
 def new_patterns(assigned: DataFrame, problems: DataFrame) -> DataFrame:

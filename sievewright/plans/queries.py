@@ -67,7 +67,7 @@ def canonical(spark: SparkSession, d: str) -> DataFrame:
     r = once(spark, d).withColumn("code", _code("canonical_solution"))
     has = F.coalesce(F.length("code") > 0, F.lit(False))
     examples = "array<struct<input:string,output:string,explanation:string>>"
-    return r.select(
+    shaped = r.select(
         "id", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("description", F.lit("")).alias("description"), text.difficulty(F.col("difficulty")).alias("difficulty"),
         text.tags(F.col("tags")).alias("tags"), F.array().cast(examples).alias("examples"), none.alias("constraints"), F.lit("{}").alias("input_schema"),
         F.lit("{}").alias("output_schema"), F.lit(0.0).alias("schema_inference_confidence"),
@@ -75,9 +75,9 @@ def canonical(spark: SparkSession, d: str) -> DataFrame:
         has.alias("has_solution"), F.lit(False).alias("is_premium"), F.lit(False).alias("data_unavailable"), policy.license_meta(F.lit("mit")).alias("license_meta"),
         F.col("source_list"), none.alias("aliases"), F.lit(None).cast("string").alias("deduplicated_into"), F.lit(1).alias("version"),
         F.array().cast("array<struct<step:string,detail:string>>").alias("history"),
-        # created_at has microseconds; ids that share one are told apart by a hash, so no global sort is needed
-        (F.unix_micros("created_at") * 1024 + F.pmod(F.xxhash64("id"), F.lit(1024))).alias("ord"),
+        F.struct("created_at", "id").alias("ord"),
     )
+    return cut(shaped, "canonical")
 
 
 # ---- text
@@ -375,7 +375,7 @@ def tfidf_weights(spark, d):
     select * from s2 where stage is not null"""
 )
 def near_dup_edges(spark, d):
-    r = canonical(spark, d).withColumn("signature", F.col("canonical_solution.ast_signature"))
+    r = dedup.numbered(canonical(spark, d).withColumn("signature", F.col("canonical_solution.ast_signature"))).drop("ord").withColumnRenamed("n", "ord")
     k = cut(dedup.keyed(r), "keys")
     e = dedup.edges(r, k.join(dedup.title_matches(k), "ord", "left_anti"))
     ids = k.select("ord", "id")

@@ -17,7 +17,7 @@ CANONICAL = (
     "ingest_trace struct<parser:string,raw_file:string,raw_offset:bigint,commit_hash:string>, "
     "source_name string, source_list array<string>, aliases array<string>, deduplicated_into string, version int, "
     "validation struct<needs_review:boolean,needs_schema_review:boolean,requires_legal_review:boolean,reasons:array<string>>, "
-    "history array<struct<step:string,detail:string>>, ord bigint"
+    "history array<struct<step:string,detail:string>>, ord struct<source_idx:int,raw_file:string,raw_offset:bigint>"
 )
 TEMPLATE_OUTPUT = (
     "title string, description string, input_format string, output_format string, input_schema map<string,string>, "
