@@ -1,11 +1,14 @@
 """Problem 3: new batches deduplicated against all history.
 
-Every batch becomes an immutable segment of an inverted index: of each record the
-rarest words, one of which any record similar enough must share (prefix filtering),
-cut into shards by word. A new batch meets the records under its own rarest words; what
-sizes, places of the word and word bitmaps can't rule out is checked exactly, so no
-pair is lost. Segments of like size are merged, so there are about as many as the
-logarithm of the batches' number.
+Of every batch one immutable suffix array is kept. Its concatenated text is the
+distinct words of each record in one fixed order, the rarest first; two records
+that share 0.6 of their words share one of their rarest (prefix filtering), so the
+suffixes that begin there are stored, sorted, in pages by their first word. A new
+batch's suffixes are found in the stored pages by binary search; what the covered
+places, the sizes and the word bitmaps can't rule out is checked exactly. Pages lie
+in bucketed tables: only the new batch's suffixes are shuffled to them, and history
+is neither shuffled nor sorted again. Arrays of like size are merged, so there are
+about as many as the logarithm of the batches' number.
 """
 
 from __future__ import annotations
@@ -13,7 +16,9 @@ from __future__ import annotations
 import html
 import json
 import re
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,38 +26,48 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, apart, cut, drop
+from .common import WORD, apart, cut, drop, shared_dir
 
 #: Earlier records a new one is paired with at first under each word; then eight times as many.
 FEW = 8
 #: Pairs whose records' numbers are broadcast; with more they are shuffled.
 BROADCAST_PAIRS = 500_000
-#: Entries in a shard, about.
-SHARD = 500_000
-#: Bits of a record's bitmap, in words of 64; new records and pairs compared at once.
-BITS, BLOCK, PAIRS = 256, 64, 1 << 20
+#: Suffixes of a page, about; records of a batch that are searched at once.
+PAGE, AT_ONCE = 300_000, 4_000_000
+#: Bits of a record's bitmap; new records and stored suffixes compared at once; pairs of small groups at once.
+BITS, BLOCK, WIDE, PAIRS = 256, 32, 2048, 1 << 20
 _MARKUP = re.compile(r"<[^<>]*>")
-_known: dict[str, int] = {}
 
 
-def words_of(title: str | None, description: str | None) -> list[int]:
-    """63-bit values of the words of title and description, markup and character entities aside."""
+class _Known(dict):
+    """63-bit values of words."""
+
+    def __missing__(self, w: str) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        v = self[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) >> 1
+        return v
+
+
+_known = _Known()
+
+
+def words_of(title: str | None, description: str | None) -> np.ndarray:
+    """Values of the distinct words of title and description in order, markup and character entities aside."""
     text = f"{title or ''} {description or ''}"
     text = html.unescape(_MARKUP.sub(" ", text)) if "&" in text or "<" in text else text
-    words = WORD.findall(text.lower())
-    if len(_known) > 1_000_000:
-        _known.clear()
-    out = []
-    for w in words:
-        if (v := _known.get(w)) is None:
-            v = _known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) >> 1
-        out.append(v)
-    return out
+    words = set(WORD.findall(text.lower()))
+    return np.unique(np.fromiter((_known[w] for w in words), np.int64, len(words)))
 
 
 RECORDS = "id string, new boolean, seq long, words array<long>, key string"
 
 
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *rows])))
+
+
 def _records(from_payload: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,11 +83,11 @@ def _records(from_payload: bool):
                     title = v["title"] if isinstance(v.get("title"), str) else title
                     text = v["description"] if isinstance(v.get("description"), str) else None
                 rows.append(words_of(title, text))
-            some = pa.array([k for k, r in enumerate(rows) if r and ids[k].is_valid], pa.int64())
+            some = pa.array([k for k, r in enumerate(rows) if len(r) and ids[k].is_valid], pa.int64())
             kept = [rows[k] for k in some.to_pylist()]
-            keys = [xxhash.xxh3_128_hexdigest(np.unique(np.array(r, np.int64)).tobytes()) for r in kept]
+            keys = [xxhash.xxh3_128_hexdigest(r.tobytes()) for r in kept]
             yield pa.RecordBatch.from_arrays(
-                [ids.take(some), new.take(some), seq.take(some), pa.array(kept, pa.list_(pa.int64())), pa.array(keys, pa.string())],
+                [ids.take(some), new.take(some), seq.take(some), _lists(kept), pa.array(keys, pa.string())],
                 names=["id", "new", "seq", "words", "key"],
             )
 
@@ -92,14 +107,18 @@ def _order():
     return F.struct("new", "seq", "id")
 
 
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists' values, and how many each list has."""
+    return column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def frequent_words(classes: DataFrame, share: int = 1000) -> tuple[np.ndarray, np.ndarray]:
     """Words in more than one of ``share`` records, and in how many. There are at most ``share`` x the words a record has."""
 
     def run(batches):
         found, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            parts = [np.unique(np.array(w, np.int64)) for w in batch.column(0).to_pylist()]
-            w, n = np.unique(np.concatenate([*parts, found, np.zeros(0, np.int64)]), return_counts=True)
+            w, n = np.unique(np.concatenate([_flat(batch.column(0))[0], found]), return_counts=True)
             old = np.searchsorted(w, found)
             n[old] += counts - 1
             found, counts = w, n
@@ -117,50 +136,44 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def prefixes(lists: list[list[int]], words: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
-    """(record, word, place) of each record's rarest words, the distinct words of all, and their bitmaps.
+def prefixes(flat: np.ndarray, size: np.ndarray, words: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
+    """(record, word, place) of each record's suffixes that count, and the records' bitmaps.
 
-    The rarest n - ceil(threshold x n) + 1 of n distinct words: two records that are
-    ``threshold`` alike share at least one of them, whatever the order of words is, as
-    long as it is the same for all records.
+    ``flat``: the records' distinct words one record after the other, ``size`` of
+    each. In the fixed order the first n - ceil(threshold x n) + 1 of n words: two
+    records that are ``threshold`` alike share one of them, whatever the order is,
+    as long as it is the same for all records.
     """
-    lens = np.fromiter(map(len, lists), np.int64, len(lists))
-    flat = np.fromiter((w for r in lists for w in r), np.int64, int(lens.sum()))
-    owner = np.repeat(np.arange(len(lists)), lens)
-    order = np.lexsort((flat, owner))
-    flat, owner = flat[order], owner[order]
-    once = np.ones(len(flat), bool)
-    once[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
-    flat, owner = flat[once], owner[once]
+    owner = np.repeat(np.arange(len(size)), size)
     rank = _mix(flat) >> np.uint64(2)
     if len(words):
         k = np.minimum(np.searchsorted(words, flat), len(words) - 1)
         often = words[k] == flat
         rank[often] = np.uint64(1 << 62) + counts[k[often]].astype(np.uint64) * np.uint64(1 << 20) + (rank[often] >> np.uint64(44))
-    size = np.bincount(owner, minlength=len(lists))
-    bits = np.zeros((len(lists), BITS), bool)
+    bits = np.zeros((len(size), BITS), bool)
     bits[owner, (flat >> 20) % BITS] = True
     order = np.lexsort((flat, rank, owner))
-    flat, owner = flat[order], owner[order]
+    flat = flat[order]
     place = np.arange(len(flat)) - (np.cumsum(size) - size)[owner]
     kept = place <= (size - np.ceil(threshold * size - 1e-9))[owner]
-    return owner[kept], flat[kept], place[kept], size, np.packbits(bits, axis=1)
+    return owner[kept], flat[kept], place[kept], np.packbits(bits, axis=1)
 
 
-ENTRIES = "shard int, rec long, size int, bits binary, grams array<long>, places array<int>"
+SUFFIXES = "shard int, rec long, size int, bits binary, words array<long>, places array<int>"
 
 
-def entries(classes: DataFrame, words: np.ndarray, counts: np.ndarray, shards: int, threshold: float) -> DataFrame:
-    """The classes' rarest words, one row for each shard that a class has words in."""
+def suffixes(classes: DataFrame, words: np.ndarray, counts: np.ndarray, shards: int, threshold: float) -> DataFrame:
+    """The classes' suffixes, one row for each shard that a class has some in; a shard is a word's value modulo ``shards``."""
     shared = classes.sparkSession.sparkContext.broadcast((words, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in (whole.slice(i, 2000) for i in range(0, whole.num_rows, 2000)):
-                own, gram, place, size, bits = prefixes(batch.column(0).to_pylist(), *shared.value, threshold)
-                shard = gram % shards
-                order = np.lexsort((shard, own))
-                own, gram, place, shard = own[order], gram[order], place[order], shard[order]
+                flat, size = _flat(batch.column(0))
+                own, word, place, bits = prefixes(flat, size, *shared.value, threshold)
+                shard = word % shards
+                order = np.lexsort((place, shard, own))
+                own, word, place, shard = own[order], word[order], place[order], shard[order]
                 begin = np.flatnonzero(np.diff(_runs(own, shard), prepend=-1))
                 offsets = pa.array(np.append(begin, len(own)).astype(np.int32))
                 at = own[begin]
@@ -170,13 +183,13 @@ def entries(classes: DataFrame, words: np.ndarray, counts: np.ndarray, shards: i
                         batch.column(1).take(pa.array(at)),
                         pa.array(size[at].astype(np.int32)),
                         pa.array([bits[k].tobytes() for k in at], pa.binary()),
-                        pa.ListArray.from_arrays(offsets, pa.array(gram)),
+                        pa.ListArray.from_arrays(offsets, pa.array(word)),
                         pa.ListArray.from_arrays(offsets, pa.array(place.astype(np.int32))),
                     ],
-                    names=["shard", "rec", "size", "bits", "grams", "places"],
+                    names=["shard", "rec", "size", "bits", "words", "places"],
                 )
 
-    return classes.select("words", "rec").mapInArrow(run, ENTRIES)
+    return classes.select("words", "rec").mapInArrow(run, SUFFIXES)
 
 
 def _runs(*columns: np.ndarray) -> np.ndarray:
@@ -187,77 +200,117 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return np.cumsum(new) - 1
 
 
-def _look_up(threshold: float, lo: int, hi: int):
-    """Pairs of an asking record and an earlier one that share a rare word and may be similar.
+#: A page: the records it speaks of by number, and its suffixes sorted by word, then by the record's size, then by the record.
+PAGES = "shard int, rec binary, size binary, bits binary, word binary, own binary, place binary"
+
+
+def _sorted_page(table: pa.Table) -> pa.Table:
+    rec, size = table.column("rec").to_numpy(), table.column("size").to_numpy()
+    words = table.column("words").combine_chunks()
+    word, n = _flat(words)
+    own = np.repeat(np.arange(len(rec), dtype=np.int32), n)
+    place = table.column("places").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    order = np.lexsort((rec[own], size[own], word))
+    parts = [rec.astype("<i8"), size.astype("<i4"), b"".join(table.column("bits").to_pylist()), word[order], own[order], place[order].astype("<i4")]
+    row = [[p if isinstance(p, bytes) else p.tobytes()] for p in parts]
+    return pa.table([pa.array([table.column("shard")[0].as_py()], pa.int32()), *[pa.array(r, pa.binary()) for r in row]], names=["shard", "rec", "size", "bits", "word", "own", "place"])
+
+
+def _merged_page(table: pa.Table) -> pa.Table:
+    """One page of several: their suffixes, sorted already, in one order (runs are merged, not sorted anew)."""
+    parts = {c: [np.frombuffer(b, t) for b in table.column(c).to_pylist()] for c, t in (("rec", "<i8"), ("size", "<i4"), ("word", "<i8"), ("own", "<i4"), ("place", "<i4"))}
+    first = np.cumsum([0, *(len(r) for r in parts["rec"])])
+    rec, size, word, place = (np.concatenate(parts[c]) for c in ("rec", "size", "word", "place"))
+    own = np.concatenate([o + f for o, f in zip(parts["own"], first)]).astype(np.int32)
+    order = np.lexsort((rec[own], size[own], word))
+    row = [rec, size, b"".join(table.column("bits").to_pylist()), word[order], own[order], place[order]]
+    cells = [[p if isinstance(p, bytes) else p.tobytes()] for p in row]
+    return pa.table([pa.array([table.column("shard")[0].as_py()], pa.int32()), *[pa.array(c, pa.binary()) for c in cells]], names=["shard", "rec", "size", "bits", "word", "own", "place"])
+
+
+def _search_page(threshold: float, lo: int, hi: int):
+    """Pairs of an asking record and an earlier one in the page that share a rare word and may be similar.
 
     A pair is ruled out only by what can't be otherwise: by the words that are left
-    after the first shared one, and by bits that differ, each of which takes a word
-    that differs. ``lo`` and ``hi``: which of the earlier records that are left under
-    a word, in their order, are paired; where there are more, a row names the next
-    one as ``-1 - r``.
+    after the shared one in both, and by bits that differ, each of which takes a
+    word that differs. ``lo`` and ``hi``: which of the earlier records that are left
+    under a word, in their order, are paired; where there are more, a row names the
+    next one as ``-1 - r``.
     """
     share = threshold / (1 + threshold)  # of both sizes together, that similar records have in common
 
-    def run(table: pa.Table) -> pa.Table:
-        rec_, size_, ask_, best_ = (table.column(c).to_numpy() for c in ("rec", "size", "ask", "best"))
-        bits_ = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(rec_), -1)
-        grams = table.column("grams").combine_chunks()
-        row = np.repeat(np.arange(len(rec_)), grams.value_lengths().to_numpy())
-        gram = grams.flatten().to_numpy()
-        place = table.column("places").combine_chunks().flatten().to_numpy()
-        order = np.lexsort((rec_[row], gram))
-        row, gram, place = row[order], gram[order], place[order]
-        rec, size, ask, best = rec_[row], size_[row].astype(np.int64), ask_[row], best_[row]
-        spare = (1 - share) * size - place + 1e-6  # a similar record has at most spare / share words
-        begin = np.flatnonzero(np.diff(_runs(gram), prepend=-1)) if len(gram) else np.zeros(0, np.int64)
-        count = np.diff(np.append(begin, len(gram)))
-        asking = np.add.reduceat(ask.astype(np.int64), begin) if len(gram) else begin
-        large = asking * count > 4096
+    def run(asks: pa.Table, page: pa.Table) -> pa.Table:
         out_q, out_r = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if not asks.num_rows or not page.num_rows:
+            return pa.table({"q": out_q[0], "r": out_r[0]})
+        page = _merged_page(page) if page.num_rows > 1 else page
+        p_rec, p_size, p_word, p_own, place = (np.frombuffer(page.column(c)[0].as_py(), t) for c, t in (("rec", "<i8"), ("size", "<i4"), ("word", "<i8"), ("own", "<i4"), ("place", "<i4")))
+        p_bits = np.frombuffer(page.column("bits")[0].as_py(), np.uint64).reshape(len(p_rec), -1)
+        rec, size = p_rec[p_own], p_size[p_own].astype(np.int64)
+        spare = (1 - share) * size - place + 1e-6  # a similar record has at most spare / share words
+        a_rec, a_size, a_best = (asks.column(c).to_numpy() for c in ("rec", "size", "best"))
+        a_bits = np.frombuffer(b"".join(asks.column("bits").to_pylist()), np.uint64).reshape(len(a_rec), -1)
+        word, n = _flat(asks.column("words").combine_chunks())
+        own = np.repeat(np.arange(len(a_rec)), n)
+        a_place = asks.column("places").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        order = np.lexsort((a_size[own], word))
+        word, own, a_place = word[order], own[order], a_place[order]
+        q_size = a_size[own].astype(np.int64)
+        q_spare = (1 - share) * q_size - a_place + 1e-6
+        begin, end = np.searchsorted(p_word, word, "left"), np.searchsorted(p_word, word, "right")
 
         def keep(q: np.ndarray, r: np.ndarray) -> None:
-            """Takes pairs of entries, by ``q`` and then in the order of ``r``."""
-            may = (rec[r] < rec[q]) & (rec[r] < best[q]) & (spare[q] >= share * size[r]) & (spare[r] >= share * size[q])
+            """Takes pairs of suffixes that passed, all of an asking suffix at once."""
+            may = (rec[r] < a_rec[own[q]]) & (rec[r] < a_best[own[q]]) & (q_spare[q] >= share * size[r]) & (spare[r] >= share * q_size[q])
             q, r = q[may], r[may]
+            o = np.lexsort((rec[r], q))
+            q, r = q[o], r[o]
             first = np.flatnonzero(np.diff(q, prepend=-1))
-            n = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
-            now, next_ = (n >= lo) & (n < hi), n == hi
-            out_q.extend((rec[q[now]], rec[q[next_]]))
+            k = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
+            now, next_ = (k >= lo) & (k < hi), k == hi
+            out_q.extend((a_rec[own[q[now]]], a_rec[own[q[next_]]]))
             out_r.extend((rec[r[now]], -1 - rec[r[next_]]))
 
-        some = np.flatnonzero(ask & np.repeat(~large, count))
-        start = np.repeat(begin, count)
-        for part in np.split(some, np.flatnonzero(np.diff(np.cumsum(some - start[some]) // PAIRS)) + 1):
-            m = part - start[part]
-            q = np.repeat(part, m)
-            r = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m - start[part], m)
-            fit = (spare[q] >= share * size[r]) & (spare[r] >= share * size[q])
+        def near(q: np.ndarray, r: np.ndarray) -> np.ndarray:
+            differ = np.bitwise_count(a_bits[own[q]] ^ p_bits[p_own[r]]).sum(1, dtype=np.int64)
+            return differ <= (1 - 2 * share) * (q_size[q] + size[r]) + 1e-6
+
+        heads = np.flatnonzero(np.diff(_runs(word), prepend=-1))
+        asking = np.diff(np.append(heads, len(word)))
+        large = (end[heads] - begin[heads]) * asking > 4096
+        some = np.flatnonzero(np.repeat(~large, asking) & (end > begin))
+        count = end[some] - begin[some]
+        for at in np.split(np.arange(len(some)), np.flatnonzero(np.diff(np.cumsum(count) // PAIRS)) + 1):
+            m = count[at]
+            q = np.repeat(some[at], m)
+            r = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m - begin[some[at]], m)
+            fit = (q_spare[q] >= share * size[r]) & (spare[r] >= share * q_size[q])
             q, r = q[fit], r[fit]
-            differ = np.bitwise_count(bits_[row[q]] ^ bits_[row[r]]).sum(1, dtype=np.int64)
-            near = differ <= (1 - 2 * share) * (size[q] + size[r]) + 1e-6
-            keep(q[near], r[near])
-        for a, n in zip(begin[large], count[large]):
-            own = np.arange(a, a + n)
-            mine, columns = own[ask[own]], np.ascontiguousarray(bits_[row[own]].T)
-            mine = mine[np.argsort(size[mine], kind="stable")]
-            for q in (mine[k : k + BLOCK] for k in range(0, len(mine), BLOCK)):
-                fit = (spare[own] >= share * size[q[0]]) & (share * size[own] <= spare[q].max()) & (rec[own] < rec[q].max())
-                r, theirs = own[fit], columns[:, fit]
-                most = np.minimum((1 - 2 * share) * (size[q[-1]] + size[r]) + 1e-6, 255).astype(np.uint8)
-                for k in range(0, len(r), PAIRS // BLOCK):
-                    part = slice(k, k + PAIRS // BLOCK)
-                    differ = np.zeros((len(q), len(r[part])), np.uint8)  # all 256 bits would count as none, which keeps the pair
-                    for mine_, their in zip(bits_[row[q]].T, theirs):
-                        differ += np.bitwise_count(mine_[:, None] ^ their[part])
-                    i, j = np.nonzero(differ <= most[part])
-                    if k == 0:
-                        pairs = [(i, j)]
-                    else:
-                        pairs.append((i, j + k))
-                if len(r):
-                    i, j = (np.concatenate(c) for c in zip(*pairs))
-                    o = np.lexsort((j, i))
-                    keep(q[i[o]], r[j[o]])
+            ok = near(q, r)
+            keep(q[ok], r[ok])
+        half = p_bits.shape[1] // 2
+        for a, k in zip(heads[large], asking[large]):
+            whole = slice(begin[a], end[a])
+            sizes = size[whole]
+            columns = np.ascontiguousarray(p_bits[p_own[whole]].T[:half])
+            for q0 in range(a, a + k, BLOCK):
+                q = np.arange(q0, min(q0 + BLOCK, a + k))
+                lo_, hi_ = np.searchsorted(sizes, [share / (1 - share) * q_size[q[0]] - 1e-6, q_spare[q].max() / share], "left")
+                hi_ = int(np.searchsorted(sizes, q_spare[q].max() / share, "right"))
+                mine = a_bits[own[q]].T[:half]
+                got_q, got_r = [], []
+                for s in range(int(lo_), hi_, WIDE):
+                    part = slice(s, min(s + WIDE, hi_))
+                    differ = np.bitwise_count(mine[0][:, None] ^ columns[0][part])
+                    for m_, c_ in zip(mine[1:], columns[1:]):
+                        differ += np.bitwise_count(m_[:, None] ^ c_[part])
+                    most = np.minimum((1 - 2 * share) * (q_size[q[-1]] + sizes[part]) + 1e-6, 255).astype(np.uint8)
+                    i, j = np.nonzero(differ <= most)
+                    got_q.append(q[i]), got_r.append(j + s + begin[a])
+                if got_q:
+                    q_, r_ = np.concatenate(got_q), np.concatenate(got_r)
+                    ok = near(q_, r_)
+                    keep(q_[ok], r_[ok])
         q, r = np.concatenate(out_q), np.concatenate(out_r)
         q, r = np.unique(np.stack([q, r]), axis=1) if len(q) else (q, r)
         return pa.table({"q": q, "r": r})
@@ -265,22 +318,41 @@ def _look_up(threshold: float, lo: int, hi: int):
     return run
 
 
+@dataclass
+class Segment:
+    """One immutable suffix array: a bucketed table of pages. ``hot``: words whose suffixes have shards of their own, (first of them, how many)."""
+
+    name: str
+    path: str
+    shards: int
+    records: int
+    n: int
+    hot: dict[int, tuple[int, int]]
+
+
+def _shards(n: int, page: int) -> int:
+    """A power of two, at least 16, that lays about ``page`` of ``n`` suffixes in a shard."""
+    return 1 << max(4, (-(-n // page) - 1).bit_length())
+
+
 class History:
     """An index of accepted records that batches are checked against and added to.
 
-    ``segments``: sharded inverted indexes as tables in the shared folder, each with
-    its level; ``classes``: the records they hold, those of equal words as one,
-    numbered in their order (``rec``). Which words are frequent, and so the order of
-    words, is fixed by the first batch, so later ones never change old segments but
-    to merge them.
+    ``segments``: a suffix array for each batch, later merged; ``classes``: the
+    records they hold, those of equal words as one, numbered in their order
+    (``rec``). Which words are frequent, and so the order of words, is fixed by the
+    first batch, so later ones never change old arrays but to merge them. Pages hold
+    about ``page`` suffixes: an array has as many shards as that takes (powers of
+    two), and a word with more suffixes than a page is spread over shards of its own
+    by record. Of a very large batch ``at_once`` records are searched at a time.
     """
 
-    def __init__(self, spark: SparkSession, threshold: float = 0.6):
-        self.spark, self.threshold = spark, threshold
+    def __init__(self, spark: SparkSession, threshold: float = 0.6, page: int = PAGE, at_once: int = AT_ONCE):
+        self.spark, self.threshold, self.page, self.at_once = spark, threshold, page, at_once
         self.classes: list[DataFrame] = []
-        self.segments: list[tuple[int, DataFrame, str]] = []
+        self.segments: list[Segment] = []
         self.words = self.counts = None
-        self.shards, self.seen = 1, 0
+        self.seen = 0
 
     def _collapse(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The batch's classes with their numbers, and (id, key) of its rows; equal word sets are one class."""
@@ -293,6 +365,43 @@ class History:
         )
         return cut(classes, "classes")[0], rows.select("id", "new", "seq", "key").distinct()
 
+    def _stored(self, pages: DataFrame, shards: int, build, records: int, n: int, hot: dict) -> Segment:
+        """Builds a page of each shard's rows and stores them bucketed by shard."""
+        name = f"pages_{uuid.uuid4().hex}"
+        path = f"{shared_dir(self.spark)}/{name}"
+        buckets = max(shards, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        made = pages.repartition(buckets, "shard").groupBy("shard").applyInArrow(build, PAGES)
+        made.write.bucketBy(buckets, "shard").option("path", path).option("compression", "zstd").format("parquet").saveAsTable(name)
+        return Segment(name, path, shards, records, n, hot)
+
+    def _hot(self, rows: DataFrame, records: int, shards: int) -> dict[int, tuple[int, int]]:
+        """Words with more suffixes than a page; none where there are no more records than that."""
+        if records <= self.page:
+            return {}
+        many = rows.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") > self.page).orderBy("w").collect()
+        out, first = {}, shards
+        for r in many:
+            out[r.w] = first, -(-r.n // self.page)
+            first += out[r.w][1]
+        return out
+
+    @staticmethod
+    def _routed(rows: DataFrame, shards: int, hot: dict[int, tuple[int, int]], asking: bool) -> DataFrame:
+        """Rows of suffixes in the shards of an array; asking ones go to every shard of a hot word, stored ones to their record's."""
+        rows = rows.withColumn("shard", F.pmod("shard", F.lit(shards)).cast("int"))
+        if not hot:
+            return rows
+        own = F.create_map(*[F.lit(x) for w, (f, n) in hot.items() for x in (w, f)]), F.create_map(*[F.lit(x) for w, (f, n) in hot.items() for x in (w, n)])
+        rest = [c for c in rows.columns if c not in ("shard", "words", "places")]
+        each = rows.select("shard", *rest, F.explode(F.arrays_zip("words", "places")).alias("s")).select("shard", *rest, "s.words", "s.places")
+        is_hot = F.col("words").isin(*hot)
+        cold = each.where(~is_hot).groupBy("shard", *rest).agg(F.collect_list("words").alias("words"), F.collect_list("places").alias("places"))
+        first, parts = own[0][F.col("words")], own[1][F.col("words")]
+        some = each.where(is_hot)
+        some = some.withColumn("shard", F.explode(F.sequence(first, first + parts - 1))) if asking else some.withColumn("shard", (first + F.pmod(F.xxhash64("rec"), parts)).cast("int"))
+        some = some.select(*[F.array(c).alias(c) if c in ("words", "places") else F.col(c) for c in rows.columns])
+        return cold.select(*rows.columns).unionByName(some)
+
     def add(self, rows: DataFrame, search: bool = True) -> DataFrame | None:
         """Adds a batch; with ``search`` gives ``(id, first_id)`` of its records that repeat an earlier one.
 
@@ -301,23 +410,45 @@ class History:
         classes, members = self._collapse(rows)
         if self.words is None:
             self.words, self.counts = frequent_words(classes)
-            n = classes.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
-            self.shards = max(8, int(n * (1 - self.threshold) // SHARD))
         self.seen += 1
-        segment, path = cut(entries(classes, self.words, self.counts, self.shards, self.threshold), "segment")
+        records, n = classes.agg(F.count("*"), F.coalesce(F.sum(F.size("words")), F.lit(0))).first()
+        n = int(n * (1 - self.threshold)) + records
+        shards = _shards(n, self.page)
+        most = max([shards, *(s.shards for s in self.segments)])
+        fresh, path = cut(suffixes(classes, self.words, self.counts, most, self.threshold), "suffixes")
+        hot = self._hot(fresh, records, shards)
         self.classes.append(classes)
-        found = self._search(segment, members) if search else None
-        size = max(1, segment.count())
-        self.segments.append((size.bit_length(), segment, path))
-        if found is not None:
-            found, _ = cut(found, "repeats")  # before a merge removes what it reads
-        while len(self.segments) > 1 and self.segments[-1][0] >= self.segments[-2][0]:
-            (_, a, pa_), (_, b, pb) = self.segments.pop(), self.segments.pop()
-            merged, path = cut(a.unionByName(b), "segment")
-            drop(self.spark, pa_), drop(self.spark, pb)
-            self.segments.append((merged.count().bit_length(), merged, path))
+        self.segments.append(self._stored(self._routed(fresh, shards, hot, False), shards, _sorted_page, records, n, hot))
+        found = None
+        if search:
+            parts = max(1, -(-records // self.at_once))
+            for k in range(parts):
+                some = fresh.where(F.pmod(F.xxhash64("rec"), F.lit(parts)) == k) if parts > 1 else fresh
+                pairs = self._search(some)
+                found = pairs if found is None else found.unionByName(pairs)
+            found, _ = cut(self._firsts(found, classes, members), "repeats")
+        drop(self.spark, path)
+        while len(self.segments) > 1 and self.segments[-1].records.bit_length() >= self.segments[-2].records.bit_length():
+            self._merge(self.segments.pop(), self.segments.pop())
         return found
 
+    def _merge(self, a: Segment, b: Segment) -> None:
+        """Two arrays as one; where pages would grow too large, the shards are taken twice as fine."""
+        records, n = a.records + b.records, a.n + b.n
+        # by their paths: a union of bucketed scans claims a partitioning that doesn't hold
+        pages, shards = self.spark.read.schema(PAGES).parquet(a.path).unionByName(self.spark.read.schema(PAGES).parquet(b.path)), _shards(n, self.page)
+        if a.shards == b.shards == shards and records <= self.page:
+            merged = self._stored(pages, shards, _merged_page, records, n, {})
+        else:
+            rows, path = cut(pages.mapInArrow(_unpaged, SUFFIXES).mapInArrow(_resharded(shards), SUFFIXES), "suffixes")
+            hot = self._hot(rows, records, shards)
+            merged = self._stored(self._routed(rows, shards, hot, False), shards, _sorted_page, records, n, hot)
+            drop(self.spark, path)
+        for s in (a, b):
+            self.spark.sql(f"drop table `{s.name}`")
+            drop(self.spark, s.path)
+        self.segments.append(merged)
+
     def _all_classes(self) -> DataFrame:
         out = self.classes[0]
         for c in self.classes[1:]:
@@ -329,22 +460,24 @@ class History:
         pairs, _ = cut(raw.where("r >= 0").select("q", "r").distinct(), "pairs")
         met = pairs.select(F.explode(F.array("q", "r")).alias("rec")).distinct()
         met = F.broadcast(met) if pairs.count() <= BROADCAST_PAIRS else met
-        sets, _ = cut(classes.join(met, "rec", "left_semi").select("rec", "id", F.array_distinct("words").alias("set")), "sets")
+        sets, _ = cut(classes.join(met, "rec", "left_semi").select("rec", "id", F.col("words").alias("set")), "sets")
         both = pairs.join(sets.select(F.col("rec").alias("q"), F.col("set").alias("a")), "q").join(sets.select(F.col("rec").alias("r"), "id", F.col("set").alias("b")), "r")
         both = both.withColumn("i", F.size(F.array_intersect("a", "b")))
         alike = F.col("i") >= (F.size("a") + F.size("b") - F.col("i")) * F.lit(self.threshold) - 1e-9
         return cut(both.where(alike).select("q", "r", "id"), "similar")[0]
 
-    def _search(self, segment: DataFrame, members: DataFrame) -> DataFrame:
+    def _search(self, fresh: DataFrame) -> DataFrame:
+        """``(q, r, id)``: for each record of the batch its first similar ones, of two ids where there are."""
         never = F.lit(2**63 - 1)
-        every = segment.withColumn("ask", F.lit(True))
-        for _, s, _ in self.segments:
-            every = every.unionByName(s.withColumn("ask", F.lit(False)))
         classes = self._all_classes()
-        known = classes.select("rec", "id", "new", "seq", "key")
-        look, lo, hi, best = every.withColumn("best", never), 0, FEW, None
+        asks, lo, hi, best = fresh.withColumn("best", never), 0, FEW, None
         while True:
-            raw, _ = cut(look.groupBy("shard").applyInArrow(_look_up(self.threshold, lo, hi), "q long, r long"), "matches")
+            raw = None
+            for s in self.segments:
+                mine = self._routed(asks, s.shards, s.hot, True)
+                got = mine.groupBy("shard").cogroup(self.spark.table(s.name).groupBy("shard")).applyInArrow(_search_page(self.threshold, lo, hi), "q long, r long")
+                raw = got if raw is None else raw.unionByName(got)
+            raw, _ = cut(raw, "matches")
             found = self._checked(raw, classes)
             best = found if best is None else best.unionByName(found)
             # who has found records of two ids by now looks only for earlier ones: one of them may be its own
@@ -353,20 +486,23 @@ class History:
             more = raw.where("r < 0").groupBy("q").agg(F.min(-1 - F.col("r")).alias("next")).join(two, "q", "left")
             more, _ = cut(more.where("done is null or next < done").select(F.col("q").alias("rec"), F.coalesce("done", never).alias("best")), "crowded")
             if more.isEmpty():
-                break
-            asked = every.drop("ask").join(more, "rec", "left")
-            look = asked.withColumn("ask", F.col("best").isNotNull()).withColumn("best", F.coalesce("best", F.lit(0)))
+                return best
+            asks = fresh.join(more, "rec")
             lo, hi = hi, hi * 8
+
+    def _firsts(self, best: DataFrame, batch: DataFrame, members: DataFrame) -> DataFrame:
+        """``(id, first_id)`` of the batch's rows; of records with equal words, also older ones, the first stands for all."""
+        classes = self._all_classes()
+        known = classes.select("rec", "id", "new", "seq", "key")
         first = (
-            best.select("q", "r").join(known.select(F.col("rec").alias("q"), F.col("key").alias("q_key")), "q")
+            best.select("q", "r").join(batch.select(F.col("rec").alias("q"), F.col("key").alias("q_key")), "q")
             .join(known.select(F.col("rec").alias("r"), "id", "new", "seq"), "r")
             .groupBy(F.col("q_key").alias("key"), "id")
             .agg(F.min(_order()).alias("other"))
             .groupBy("key")
             .agg(F.slice(F.sort_array(F.collect_list("other")), 1, 2).alias("others"))
         )
-        # of records with equal words the first stands for all
-        heads = classes.groupBy("key").agg(F.min(_order()).alias("head"))
+        heads = known.join(batch.select("key"), "key", "left_semi").groupBy("key").agg(F.min(_order()).alias("head"))
         own = members.join(apart(heads.join(first, "key", "left"), "key"), "key")
         own = own.withColumn("other", F.get(F.filter("others", lambda o: o["id"] != F.col("id")), F.lit(0)))
         same = F.when(F.struct("new", "seq", "id") > F.col("head"), F.col("head"))
@@ -380,6 +516,43 @@ class History:
         )
 
 
+def _unpaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The suffixes of pages as rows again, one for each record of a page."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            get = lambda c, t: np.frombuffer(batch.column(c)[k].as_py(), t)  # noqa: B023, E731
+            rec, size, word, own, place = get("rec", "<i8"), get("size", "<i4"), get("word", "<i8"), get("own", "<i4"), get("place", "<i4")
+            bits = get("bits", np.uint8).reshape(len(rec), -1)
+            order = np.argsort(own, kind="stable")
+            offsets = pa.array(np.searchsorted(own[order], np.arange(len(rec) + 1)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.zeros(len(rec), np.int32)), pa.array(rec), pa.array(size), pa.array([b.tobytes() for b in bits], pa.binary())]
+                + [pa.ListArray.from_arrays(offsets, pa.array(word[order])), pa.ListArray.from_arrays(offsets, pa.array(place[order]))],
+                names=["shard", "rec", "size", "bits", "words", "places"],
+            )
+
+
+def _resharded(shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, n = _flat(batch.column("words"))
+            own = np.repeat(np.arange(batch.num_rows), n)
+            place = batch.column("places").flatten().to_numpy(zero_copy_only=False)
+            shard = word % shards
+            order = np.lexsort((place, shard, own))
+            own, word, place, shard = own[order], word[order], place[order], shard[order]
+            begin = np.flatnonzero(np.diff(_runs(own, shard), prepend=-1)) if len(own) else np.zeros(0, np.int64)
+            offsets = pa.array(np.append(begin, len(own)).astype(np.int32))
+            at = pa.array(own[begin])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard[begin].astype(np.int32)), *[batch.column(c).take(at) for c in ("rec", "size", "bits")]]
+                + [pa.ListArray.from_arrays(offsets, pa.array(word)), pa.ListArray.from_arrays(offsets, pa.array(place.astype(np.int32)))],
+                names=["shard", "rec", "size", "bits", "words", "places"],
+            )
+
+    return run
+
+
 def repeats(records: DataFrame, new_records: DataFrame, threshold: float = 0.6) -> DataFrame:
     """``(new_id, first_id)`` of each id of ``new_records`` that repeats an earlier record.
 
@@ -397,3 +570,21 @@ def repeats(records: DataFrame, new_records: DataFrame, threshold: float = 0.6)
     index.add(history_rows(records), search=False)
     found = index.add(batch_rows(new_records))
     return found.select(F.col("id").alias("new_id"), "first_id")
+
+
+def arrivals(records: DataFrame, new_records: DataFrame, parts: int = 3, threshold: float = 0.6) -> DataFrame:
+    """``(arrival, new_id, first_id)``: the new batches in ``parts`` arrivals of consecutive batches, one after the other.
+
+    An arrival is checked against what was there before it and what comes before
+    in it, and then belongs to the history. An id has a row for each arrival that
+    it comes in and repeats an earlier record.
+    """
+    index = History(records.sparkSession, threshold)
+    index.add(history_rows(records), search=False)
+    least, most = new_records.agg(F.min("batch_no"), F.max("batch_no")).first()
+    out = records.sparkSession.createDataFrame([], "arrival int, new_id string, first_id string")
+    for k in range(parts if least is not None else 0):
+        lo, hi = (least + (most + 1 - least) * i // parts for i in (k, k + 1))
+        found = index.add(batch_rows(new_records.where((F.col("batch_no") >= lo) & (F.col("batch_no") < hi))))
+        out = out.unionByName(found.select(F.lit(k).alias("arrival"), F.col("id").alias("new_id"), "first_id"))
+    return out

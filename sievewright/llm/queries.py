@@ -6,7 +6,7 @@ from .common import table
 from .components import group_matches
 from .garble import garbled
 from .folding import formatting_duplicates
-from .history import repeats
+from .history import arrivals, repeats
 from .leaks import leaks
 from .packing import pack_documents
 from .survivors import build_survivors, field_choices, single_sources
@@ -37,6 +37,10 @@ def p3_found(spark, sf_dir):
     return repeats(table(spark, sf_dir, "records"), table(spark, sf_dir, "new_records"))
 
 
+def p3_arrivals(spark, sf_dir):
+    return arrivals(table(spark, sf_dir, "records"), table(spark, sf_dir, "new_records"))
+
+
 def p4_found(spark, sf_dir):
     return clusters(table(spark, sf_dir, "fingerprints"))[0]
 

@@ -255,3 +255,34 @@ def test_first_of_many_near_copies_in_the_history(spark):
     new = [(f"n{k}", k, "", f"{body} other{k}") for k in range(5)]
     h, n = frames(spark, history, new)
     assert {r.new_id: r.first_id for r in repeats(h, n).collect()} == brute(history, new) == {f"n{k}": "h000" for k in range(5)}
+
+
+def test_history_with_tiny_pages_spreads_hot_words_and_merges(spark):
+    """Pages of 25 suffixes: every template word is hot, arrays are split, merged and searched in parts."""
+    rng = random.Random(23)
+    words = [f"t{j}" for j in range(30)]
+    fill = lambda k: " ".join(w if rng.random() < 0.8 else f"own{k}" for w in words)
+    history = [(f"h{k:03d}", "", fill(k)) for k in range(60)]
+    new = [(f"n{k:03d}", k, "", fill(100 + k)) for k in range(50)]
+    h, n = frames(spark, history, new)
+    index = History(spark, page=25, at_once=20)
+    index.add(history_rows(h), search=False)
+    got = {}
+    for lo, hi in ((0, 25), (25, 30), (30, 50)):
+        for r in index.add(batch_rows(n.where(f"seq_no >= {lo} and seq_no < {hi}"))).collect():
+            got.setdefault(r.id, r.first_id)
+    assert got == brute(history, new) and any(s.hot for s in index.segments)
+
+
+def test_a_batch_shuffles_only_its_own_suffixes(spark):
+    """The stored pages are read where they lie: no exchange stands over their scan."""
+    from sievewright.llm.history import SUFFIXES, _search_page
+
+    rng = random.Random(2)
+    h, _ = frames(spark, [(f"h{k}", "", text_of(rng, 30)) for k in range(50)], [])
+    index = History(spark)
+    index.add(history_rows(h), search=False)
+    asks = spark.createDataFrame([], SUFFIXES + ", best long")
+    got = asks.groupBy("shard").cogroup(spark.table(index.segments[0].name).groupBy("shard")).applyInArrow(_search_page(0.6, 0, 8), "q long, r long")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan.count("Exchange") == 1
