@@ -19,6 +19,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ BROADCAST_PAIRS = 500_000
 #: Suffixes of a page, about; records of a batch that are searched at once.
 PAGE, AT_ONCE = 300_000, 4_000_000
 #: Bits of a record's bitmap; new records and stored suffixes compared at once; pairs of small groups at once.
-BITS, BLOCK, WIDE, PAIRS = 256, 32, 2048, 1 << 20
+BITS, BLOCK, WIDE, PAIRS = 256, 64, 4096, 1 << 20
 _MARKUP = re.compile(r"<[^<>]*>")
 
 
@@ -52,22 +53,16 @@ class _Known(dict):
 _known = _Known()
 
 
-def words_of(title: str | None, description: str | None) -> np.ndarray:
-    """Values of the distinct words of title and description in order, markup and character entities aside."""
+def words_of(title: str | None, description: str | None) -> list[int]:
+    """Values of the distinct words of title and description, markup and character entities aside."""
     text = f"{title or ''} {description or ''}"
     text = html.unescape(_MARKUP.sub(" ", text)) if "&" in text or "<" in text else text
-    words = set(WORD.findall(text.lower()))
-    return np.unique(np.fromiter((_known[w] for w in words), np.int64, len(words)))
+    return list(map(_known.__getitem__, set(WORD.findall(text.lower()))))
 
 
 RECORDS = "id string, new boolean, seq long, words array<long>, key string"
 
 
-def _lists(rows: list[np.ndarray]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *rows])))
-
-
 def _records(from_payload: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,11 +78,16 @@ def _records(from_payload: bool):
                     title = v["title"] if isinstance(v.get("title"), str) else title
                     text = v["description"] if isinstance(v.get("description"), str) else None
                 rows.append(words_of(title, text))
-            some = pa.array([k for k, r in enumerate(rows) if len(r) and ids[k].is_valid], pa.int64())
+            some = pa.array([k for k, r in enumerate(rows) if r and ids[k].is_valid], pa.int64())
             kept = [rows[k] for k in some.to_pylist()]
-            keys = [xxhash.xxh3_128_hexdigest(r.tobytes()) for r in kept]
+            n = np.fromiter(map(len, kept), np.int64, len(kept))
+            flat = np.fromiter(chain.from_iterable(kept), np.int64, int(n.sum()))
+            flat = flat[np.lexsort((flat, np.repeat(np.arange(len(n)), n)))]
+            ends = np.append(0, np.cumsum(n))
+            raw = memoryview(flat.tobytes())
+            keys = [xxhash.xxh3_128_hexdigest(raw[8 * a : 8 * b]) for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays(
-                [ids.take(some), new.take(some), seq.take(some), _lists(kept), pa.array(keys, pa.string())],
+                [ids.take(some), new.take(some), seq.take(some), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)), pa.array(keys, pa.string())],
                 names=["id", "new", "seq", "words", "key"],
             )
 
@@ -253,10 +253,10 @@ def _search_page(threshold: float, lo: int, hi: int):
         word, n = _flat(asks.column("words").combine_chunks())
         own = np.repeat(np.arange(len(a_rec)), n)
         a_place = asks.column("places").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        order = np.lexsort((a_size[own], word))
-        word, own, a_place = word[order], own[order], a_place[order]
         q_size = a_size[own].astype(np.int64)
         q_spare = (1 - share) * q_size - a_place + 1e-6
+        order = np.lexsort((-q_spare, word))
+        word, own, q_size, q_spare = word[order], own[order], q_size[order], q_spare[order]
         begin, end = np.searchsorted(p_word, word, "left"), np.searchsorted(p_word, word, "right")
 
         def keep(q: np.ndarray, r: np.ndarray) -> None:
@@ -288,29 +288,32 @@ def _search_page(threshold: float, lo: int, hi: int):
             q, r = q[fit], r[fit]
             ok = near(q, r)
             keep(q[ok], r[ok])
-        half = p_bits.shape[1] // 2
+        half, got_q, got_r = p_bits.shape[1], [], []
         for a, k in zip(heads[large], asking[large]):
-            whole = slice(begin[a], end[a])
-            sizes = size[whole]
-            columns = np.ascontiguousarray(p_bits[p_own[whole]].T[:half])
+            every = np.arange(begin[a], end[a])
+            sizes, least = size[every], q_size[a : a + k].min()
+            every = every[(spare[every] >= share * least) & (share * sizes <= q_spare[a])]
+            sizes, spares, columns = size[every], spare[every], np.ascontiguousarray(p_bits[p_own[every]].T[:half])
             for q0 in range(a, a + k, BLOCK):
                 q = np.arange(q0, min(q0 + BLOCK, a + k))
-                lo_, hi_ = np.searchsorted(sizes, [share / (1 - share) * q_size[q[0]] - 1e-6, q_spare[q].max() / share], "left")
-                hi_ = int(np.searchsorted(sizes, q_spare[q].max() / share, "right"))
-                mine = a_bits[own[q]].T[:half]
-                got_q, got_r = [], []
-                for s in range(int(lo_), hi_, WIDE):
-                    part = slice(s, min(s + WIDE, hi_))
+                # asking suffixes stand by what they can spare, stored ones by size: both cut the other side
+                fit = np.flatnonzero(spares >= share * q_size[q].min())
+                fit = fit[: np.searchsorted(sizes[fit], q_spare[q[0]] / share, "right")]
+                q = q[q_spare[q] >= share * sizes[fit[0]]] if len(fit) else q[:0]
+                mine, most_q = a_bits[own[q]].T[:half], (1 - 2 * share) * q_size[q].max(initial=0) + 1e-6
+                for part in (fit[s : s + WIDE] for s in range(0, len(fit) if len(q) else 0, WIDE)):
                     differ = np.bitwise_count(mine[0][:, None] ^ columns[0][part])
                     for m_, c_ in zip(mine[1:], columns[1:]):
                         differ += np.bitwise_count(m_[:, None] ^ c_[part])
-                    most = np.minimum((1 - 2 * share) * (q_size[q[-1]] + sizes[part]) + 1e-6, 255).astype(np.uint8)
-                    i, j = np.nonzero(differ <= most)
-                    got_q.append(q[i]), got_r.append(j + s + begin[a])
+                    close = np.flatnonzero(differ <= np.minimum((1 - 2 * share) * sizes[part] + most_q, 255).astype(np.uint8))
+                    i, j = close // len(part), close % len(part)
+                    ok = near(q[i], every[part[j]])
+                    got_q.append(q[i[ok]]), got_r.append(every[part[j[ok]]])
                 if got_q:
                     q_, r_ = np.concatenate(got_q), np.concatenate(got_r)
-                    ok = near(q_, r_)
-                    keep(q_[ok], r_[ok])
+                    o = np.argsort(q_, kind="stable")
+                    keep(q_[o], r_[o])
+                    got_q.clear(), got_r.clear()
         q, r = np.concatenate(out_q), np.concatenate(out_r)
         q, r = np.unique(np.stack([q, r]), axis=1) if len(q) else (q, r)
         return pa.table({"q": q, "r": r})
