@@ -70,7 +70,7 @@ def _leaks(spark, sf_dir):
 
 
 def p8_found(spark, sf_dir):
-    return _leaks(spark, sf_dir).select("doc_id", "item_id")
+    return _leaks(spark, sf_dir).where("longest_run >= 12").select("doc_id", "item_id")
 
 
 def p8_leaks(spark, sf_dir):

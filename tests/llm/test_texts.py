@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sievewright.llm import garble
-from sievewright.llm.leaks import ItemIndex, cgk, edits, leaks, longest_run
+from sievewright.llm.leaks import ItemIndex, cgk, edited, leaks, longest_run, nearest_distance, sampled_keys
 from sievewright.llm.packing import Places, pack, pack_documents, plan, token_counts
 
 D = "doc_id long, text string, item_id string, n int"
@@ -55,12 +55,8 @@ def test_pack_documents_counts_tokens(spark):
 
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=9), st.lists(st.integers(0, 5), max_size=9))
-def test_edits(a, b):
-    d = [[i + j for j in range(len(b) + 1)] for i in range(len(a) + 1)]
-    for i in range(1, len(a) + 1):
-        for j in range(1, len(b) + 1):
-            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
-    assert edits(np.array(a), np.array(b)) == d[-1][-1]
+def test_nearest_distance(a, b):
+    assert nearest_distance(np.array(a), np.array(b)) == plain_distance(a, b)
 
 
 def test_cgk_keeps_near_windows_near():
@@ -106,8 +102,50 @@ def test_leaks_with_edits(spark):
     changed = [w for k, w in enumerate(item) if k % 10 != 5]  # every run has nine words
     df = spark.createDataFrame([(1, " ".join(words(rng, 7) + changed + words(rng, 9)), "", 0)], D)
     t = spark.createDataFrame([(7, " ".join(item))], "item_id long, item_text string")
-    assert leaks(df, t).count() == 0
-    assert [r.item_id for r in leaks(df, t, max_edits=0.6).collect()] == [7]
+    assert leaks(df, t, max_edits=0).count() == 0
+    assert [(r.item_id, r.edits) for r in leaks(df, t).collect()] == [(7, 4)]
+
+
+def plain_distance(text, item):
+    """Edit distance of the item to the nearest part of the text, cell by cell."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        new = [i]
+        for j, y in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return min(row)
+
+
+def test_recall_of_planted_edits(spark, monkeypatch):
+    """A thousand items with as many random edits as are allowed, each in a text of its own; the walk finds more than plain windows."""
+    rng, nrng = random.Random(12), np.random.default_rng(12)
+    items = [(k, " ".join(words(rng, rng.randrange(24, 60)))) for k in range(1000)]
+    rows, near = [], set()
+    for k, text in items:
+        src = text.split()
+        ids = edited(np.arange(len(src), dtype=np.uint64), int(0.2 * len(src)), nrng).tolist()
+        body = words(rng, rng.randrange(9)) + [src[i] if i < len(src) else f"new{i}" for i in ids] + words(rng, 12)
+        rows.append((k, " ".join(body), "", 0))
+        if plain_distance(body, src) <= int(0.2 * len(src)):
+            near.add(k)
+    df, t = spark.createDataFrame(rows, D), spark.createDataFrame(items, "item_id long, item_text string")
+    got = {(r.doc_id, r.item_id, r.longest_run, r.edits) for r in leaks(df, t).collect()}
+    found = {d for d, i, *_ in got if d == i}
+    assert len(near) > 950 and len(near & found) >= 0.9 * len(near)
+    for d, i, run, dist in random.Random(1).sample(sorted(got), 40):
+        assert run >= 12 or dist == plain_distance(rows[d][1].split(), items[i][1].split()) <= int(0.2 * len(items[i][1].split()))
+
+
+def test_the_embedding_finds_edited_windows():
+    """Windows with one word put in agree in more sampled keys than their plain words would."""
+    rng = np.random.default_rng(3)
+    a = rng.integers(1 << 62, size=(400, 8)).astype(np.uint64)
+    b = np.concatenate([a[:, :3], rng.integers(1 << 62, size=(400, 1)).astype(np.uint64), a[:, 3:7]], axis=1)
+    flat = lambda x: (np.concatenate([x.ravel(), np.zeros(8, np.uint64)]), np.arange(400) * 8)
+    walked = (sampled_keys(cgk(*flat(a)), 32) == sampled_keys(cgk(*flat(b)), 32)).any(0).mean()
+    plain = (sampled_keys(np.repeat(a.T, 3, 0), 32) == sampled_keys(np.repeat(b.T, 3, 0), 32)).any(0).mean()
+    assert walked > plain + 0.05
 
 
 SENTENCES = [
