@@ -1,14 +1,14 @@
 """Problems 4 and 6: similarity clusters, and the most similar vectors of every vector.
 
-Both lay the vectors out in lists around the leaves of a bisecting k-means tree;
-each vector is a member of its nearest list and visits the next few. Exact copies
-are one vector until the end.
+Both lay the vectors out in lists around the leaves of a bisecting k-means tree that
+is grown over all vectors across the cluster; each vector is a member of its nearest
+list and visits the next few, as many as a measured recall takes. Large lists are
+compared in blocks by many tasks. Exact copies are one vector until the end.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from .common import apart, cut
 from .components import hash_to_min
 
-#: Vectors the lists are fitted on at most; lists a vector is laid in; rows compared at once.
-SAMPLE, PROBES, BLOCK = 32_768, 4, 512
-PACKED = "k string, v binary"
+#: Vectors that the number of lists is measured with; recall aimed at; most lists a vector is laid in; rows compared at once.
+MEASURED, RECALL, MOST_PROBES, BLOCK = 256, 0.9995, 32, 512
+#: Members and visitors of a list that one task takes; a longer list is compared in blocks.
+LIST_ROWS = 20_000
 
 
 def rotation(dim: int, seed: int = 6) -> np.ndarray:
@@ -93,43 +94,145 @@ def two_means(x: np.ndarray, rounds: int = 5) -> np.ndarray:
     return side
 
 
-def bisect(x: np.ndarray, leaves: int) -> np.ndarray:
-    """Unit centroids of the leaves: the node of the largest dispersion is split until there are enough."""
-    spread = lambda at: len(at) * (1 - float(np.square(x[at].mean(0)).sum()))
-    heap = [(-spread(np.arange(len(x))), 0, np.arange(len(x)))] if len(x) else []
-    made = 1
-    while heap and len(heap) < leaves and len(heap[0][2]) > 1:
-        *_, at = heapq.heappop(heap)
-        side = two_means(x[at])
-        for part in (at[side], at[~side]):
-            heapq.heappush(heap, (-spread(part), made, part))
-            made += 1
-    c = np.stack([x[at].mean(0) for *_, at in heap]) if heap else np.zeros((1, x.shape[1]), np.float32)
+class Tree:
+    """Splits by planes: a row goes right of node ``n`` if its product with ``plane[n]`` is above ``at[n]``."""
+
+    def __init__(self, dim: int):
+        self.plane, self.at, self.left, self.right = np.zeros((1, dim), np.float32), np.zeros(1, np.float32), np.full(1, -1), np.full(1, -1)
+
+    def leaf_of(self, x: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(x), np.int64)
+        while True:
+            inner = np.flatnonzero(self.left[node] >= 0)
+            if not len(inner):
+                return node
+            here = node[inner]
+            above = np.einsum("ij,ij->i", x[inner], self.plane[here]) > self.at[here]
+            node[inner] = np.where(above, self.right[here], self.left[here])
+
+    def split(self, nodes: list[int]) -> None:
+        """Gives each of the leaves two children, planes still to be set."""
+        n = len(self.at)
+        self.left[nodes], self.right[nodes] = n + 2 * np.arange(len(nodes)), n + 2 * np.arange(len(nodes)) + 1
+        more = 2 * len(nodes)
+        self.plane = np.vstack([self.plane, np.zeros((more, self.plane.shape[1]), np.float32)])
+        self.at = np.append(self.at, np.zeros(more, np.float32))
+        self.left, self.right = np.append(self.left, np.full(more, -1)), np.append(self.right, np.full(more, -1))
+
+
+def _moments(reps: DataFrame, tree: Tree, dim: int) -> dict[int, tuple[int, np.ndarray, np.ndarray]]:
+    """Of each leaf: its rows, their sum, and the sum of their squares, summed up across the cluster."""
+    shared = reps.sparkSession.sparkContext.broadcast(tree)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            x = unpacked(batch.column(0), dim)
+            leaf = shared.value.leaf_of(x)
+            order = np.argsort(leaf, kind="stable")
+            names, first = np.unique(leaf[order], return_index=True)
+            wide = np.hstack([np.ones((len(x), 1)), x, np.square(x)])[order]
+            for n, row in zip(names.tolist(), np.add.reduceat(wide, first) if len(x) else ()):
+                total[n] = total[n] + row if n in total else row
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([t.tobytes() for t in total.values()], pa.binary())], names=["leaf", "m"])
+
+    def add(table: pa.Table) -> pa.Table:
+        rows = np.stack([np.frombuffer(m) for m in table.column("m").to_pylist()])
+        return pa.table({"leaf": table.column("leaf")[:1], "m": pa.array([rows.sum(0).tobytes()], pa.binary())})
+
+    parts = reps.select("v").mapInArrow(run, "leaf long, m binary")
+    rows = parts.groupBy("leaf").applyInArrow(add, "leaf long, m binary").collect()
+    found = {r["leaf"]: np.frombuffer(r["m"]) for r in rows}
+    return {n: (int(m[0]), m[1 : dim + 1], m[dim + 1 :]) for n, m in found.items()}
+
+
+def grown(reps: DataFrame, leaves: int, dim: int) -> np.ndarray:
+    """Unit centroids of the leaves of a bisecting k-means tree over all vectors.
+
+    Round by round the nodes of the largest dispersion (those with at least half of
+    the largest) are split across the cluster: first at the mean of the coordinate
+    that varies most, then between the centres of the two sides. Only sums of each
+    node reach the driver.
+    """
+    tree, known = Tree(dim), {}
+    known = _moments(reps, tree, dim)
+    while 0 < len(known) < leaves:
+        spread = {n: c - float(np.square(total).sum()) / c for n, (c, total, _) in known.items()}
+        largest = max(spread.values())
+        chosen = sorted((n for n in spread if spread[n] >= largest / 2 and known[n][0] > 1), key=lambda n: (-spread[n], n))[: leaves - len(known)]
+        if largest < 1e-6 or not chosen:
+            break
+        for n in chosen:
+            c, total, squares = known[n]
+            axis = int(np.argmax(squares / c - np.square(total / c)))
+            tree.plane[n], tree.at[n] = np.eye(dim, dtype=np.float32)[axis], total[axis] / c
+        tree.split(chosen)
+        halves = _moments(reps, tree, dim)
+        for n in chosen:
+            sides = [halves.get(int(k)) for k in (tree.left[n], tree.right[n])]
+            if all(sides):
+                a, b = (t / max(float(np.linalg.norm(t)), 1e-12) for _, t, _ in sides)
+                tree.plane[n], tree.at[n] = b - a, 0.0
+        known = _moments(reps, tree, dim)
+    c = np.array([t for _, t, _ in known.values()]).reshape(-1, dim) if known else np.zeros((1, dim))
     return (c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
 class Layout:
-    """The distinct vectors, laid in lists.
+    """The distinct vectors, laid in lists around ``centroids``, about half the root of their number.
 
-    The lists' centroids come from at most ``SAMPLE`` vectors (those of least hash);
-    every vector is then laid in the list of its nearest centroid and in the next
-    ``probes - 1``. With about the root of their number of lists, the centroids
-    broadcast stay small: 8 MB for a thousand million vectors.
+    Every vector is laid in the list of its nearest centroid and in the next
+    ``probes - 1``; without ``probes`` as many as are needed for a recall of
+    ``RECALL`` of the pairs of ``least`` or more that ``MEASURED`` vectors have, by
+    brute force over all. The centroids broadcast stay small: 8 MB for a thousand
+    million vectors.
     """
 
-    def __init__(self, vectors: DataFrame, dim: int, probes: int, **columns):
-        self.dim, self.probes = dim, probes
+    def __init__(self, vectors: DataFrame, dim: int, least: float, probes: int | None = None, **columns):
+        self.dim, self.least = dim, least
         base, _ = cut(usable(vectors, dim, **columns), "vectors")
         self.members = base.groupBy("id").agg(F.min("k").alias("k"))
-        self.reps = base.select("k", "v").dropDuplicates(["k"])
-        self.n = base.select(F.approx_count_distinct("k")).first()[0]
-        some = self.reps.orderBy(F.xxhash64("k"), "k").limit(SAMPLE).select("v").toArrow()
-        self.centroids = bisect(unpacked(some.column(0), dim), max(1, int(self.n**0.5 / 2)))
+        self.reps, _ = cut(base.select("k", "v").dropDuplicates(["k"]), "distinct")
+        self.n = self.reps.count()
+        self.centroids = grown(self.reps, max(1, int(self.n**0.5 / 2)), dim)
+        self.probes = min(probes or self._measured(), len(self.centroids))
+
+    def _measured(self) -> int:
+        """The least number of lists a vector, with which the measured pairs meet in the right share.
+
+        A pair meets if one's own list is among the other's lists.
+        """
+        some = self.reps.orderBy(F.xxhash64("k"), "k").limit(MEASURED).select("v").toArrow()
+        dim, least, x = self.dim, self.least, unpacked(some.column(0), self.dim)
+        shared = self.reps.sparkSession.sparkContext.broadcast((x, self.centroids))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            x, c = shared.value
+            own = (x @ c.T).argmax(1) if len(x) else np.zeros(0, np.int64)
+            far = x @ c.T
+            count = np.zeros(MOST_PROBES + 1, np.int64)
+            for batch in batches:
+                y = unpacked(batch.column(0), dim)
+                sims = y @ x.T
+                i, j = np.nonzero((sims >= least) & (sims < 1 - 1e-6))
+                if len(i):
+                    near = y[i] @ c.T
+                    mine = near.argmax(1)
+                    rank = np.minimum((near > near[np.arange(len(i)), own[j]][:, None]).sum(1), (far[j] > far[j, mine][:, None]).sum(1))
+                    count += np.bincount(np.minimum(rank, MOST_PROBES), minlength=MOST_PROBES + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(count))), pa.array(count)], names=["rank", "n"])
+
+        rows = self.reps.select("v").mapInArrow(run, "rank long, n long").groupBy("rank").agg(F.sum("n").alias("n")).collect()
+        n = np.zeros(MOST_PROBES + 1)
+        for r in rows:
+            n[r["rank"]] = r["n"]
+        met = np.cumsum(n)
+        return min(MOST_PROBES, 1 + int(np.argmax(met >= RECALL * met[-1]))) if met[-1] else 4
 
     def lists(self) -> DataFrame:
-        """``(list, own, k, v)``."""
+        """``(list, lo, hi, part, own, k, v)``: a short list is one block, of a long one every two parts meet in one."""
         shared = self.reps.sparkSession.sparkContext.broadcast(self.centroids)
-        dim, probes = self.dim, min(self.probes, len(self.centroids))
+        dim, probes = self.dim, self.probes
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -144,7 +247,20 @@ class Layout:
                     names=["list", "own", "k", "v"],
                 )
 
-        return self.reps.mapInArrow(run, "list int, own boolean, k string, v binary")
+        laid = self.reps.mapInArrow(run, "list int, own boolean, k string, v binary")
+        # no list has more rows than there are vectors; lists are counted only where one could be long
+        if self.n <= LIST_ROWS:
+            return laid.select("list", F.lit(0).alias("lo"), F.lit(0).alias("hi"), F.lit(0).alias("part"), "own", "k", "v")
+        long = laid.groupBy("list").agg(F.count("*").alias("n")).where(F.col("n") > LIST_ROWS).collect()
+        parts = F.lit(1)
+        for r in long:
+            parts = F.when(F.col("list") == r["list"], -(-r["n"] // LIST_ROWS)).otherwise(parts)
+        return (
+            laid.withColumn("parts", parts)
+            .withColumn("part", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
+            .select("list", "part", "own", "k", "v", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("other"))
+            .select("list", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "own", "k", "v")
+        )
 
 
 def scan(q: np.ndarray, x: np.ndarray, least: float, step: int = 32, eps: float = 2.1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -184,28 +300,37 @@ def _best(a: np.ndarray, b: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarr
     return a[rank < k], b[rank < k], s[rank < k]
 
 
+def _meetings(table: pa.Table, dim: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of a block's rows, one of them a member, of cosine ``least`` or more; of two parts only what crosses."""
+    x, part = unpacked(table.column("v"), dim), table.column("part").to_numpy()
+    is_own = table.column("own").to_numpy(zero_copy_only=False)
+    if len(x) and table.column("lo")[0].as_py() != table.column("hi")[0].as_py():
+        a, b = (part == p for p in np.unique(part)) if len(np.unique(part)) == 2 else (part < 0, part < 0)
+        sides = [(np.flatnonzero(a), np.flatnonzero(b & is_own)), (np.flatnonzero(b & ~is_own), np.flatnonzero(a & is_own))]
+        for rows, own in sides:
+            for lo in range(0, len(rows) if len(own) else 0, BLOCK):
+                i, j, s = scan(x[rows[lo : lo + BLOCK]], x[own], least)
+                yield rows[i + lo], own[j], s
+        return
+    own = np.flatnonzero(is_own)
+    rows = np.concatenate([own, np.flatnonzero(~is_own)])
+    for lo in range(0, len(rows) if len(own) else 0, BLOCK):
+        first = min(lo, len(own)) if lo < len(own) else 0
+        i, j, s = scan(x[rows[lo : lo + BLOCK]], x[own[first:]], least)
+        i, j = i + lo, j + first
+        once = (i >= len(own)) | (j > i)  # two members meet once
+        yield rows[i[once]], own[j[once]], s[once]
+
+
 def _neighbours(dim: int, k: int, least: float) -> Callable[[pa.Table], pa.Table]:
+    """The best of what a block's rows find among its members, and members among all its rows."""
+
     def run(table: pa.Table) -> pa.Table:
-        x = unpacked(table.column("v"), dim)
-        own = np.flatnonzero(table.column("own").to_numpy())
-        mine = x[own]
-        is_own = np.zeros(len(x), bool)
-        is_own[own] = True
         got = [], [], []
-
-        def add(a, b, s):
-            for to, new in zip(got, _best(a, b, s, k)):
-                to.append(new)
-
-        for lo in range(0, len(x) if len(own) else 0, BLOCK):
-            i, j, s = scan(x[lo : lo + BLOCK], mine, least)
-            i, j = i + lo, own[j]
-            other = i != j
-            i, j, s = i[other], j[other], s[other]
-            add(i, j, s)
-            visits = ~is_own[i]
-            if visits.any():
-                add(j[visits], i[visits], s[visits])
+        for i, j, s in _meetings(table, dim, least):
+            for a, b in ((i, j), (j, i)):
+                for to, new in zip(got, _best(a, b, s, k)):
+                    to.append(new)
         a, b, s = _best(*(np.concatenate(g) if g else np.zeros(0, int) for g in got), k)
         keys = table.column("k").combine_chunks()
         return pa.table({"k": keys.take(pa.array(a)), "to": keys.take(pa.array(b)), "sim": pa.array(s.astype(np.float32))})
@@ -214,7 +339,7 @@ def _neighbours(dim: int, k: int, least: float) -> Callable[[pa.Table], pa.Table
 
 
 def nearest(
-    vectors: DataFrame, k: int = 5, min_similarity: float = 0.80, dim: int = 128, probes: int = PROBES,
+    vectors: DataFrame, k: int = 5, min_similarity: float = 0.80, dim: int = 128, probes: int | None = None,
     id_col: str = "record_id", vector_col: str = "nl_embedding",
 ) -> DataFrame:
     """``(record_id, neighbor_id, similarity)``: for each record the ``k`` others of the highest cosine.
@@ -226,12 +351,13 @@ def nearest(
 
     Scale: exact copies, however many, are searched once and share their
     neighbours, of each of which at most k + 1 ids are kept. A list is compared
-    with its members and visitors only, so work grows as the power 1.5 at most.
+    with its members and visitors only, so work grows as the power 1.5; a list
+    that holds much of the data is compared in blocks of two parts, many tasks.
     """
-    lay = Layout(vectors, dim, probes, id_col=id_col, vector_col=vector_col)
+    lay = Layout(vectors, dim, min_similarity, probes, id_col=id_col, vector_col=vector_col)
     found = (
         lay.lists()
-        .groupBy("list")
+        .groupBy("list", "lo", "hi")
         .applyInArrow(_neighbours(dim, k, min_similarity), "k string, to string, sim float")
         .groupBy("k", "to")
         .agg(F.max("sim").alias("sim"))
@@ -288,42 +414,24 @@ def compact_leaves(x: np.ndarray, least: float) -> list[np.ndarray]:
     return leaves
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, label[a], low)
-        np.minimum.at(new, label[b], low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _fragments(dim: int, least: float) -> Callable[[pa.Table], pa.Table]:
+    """Links of a block: of each compact leaf of its members to its first row, and between leaves that a split has torn apart."""
+
     def run(table: pa.Table) -> pa.Table:
-        x = unpacked(table.column("v"), dim)
-        own = table.column("own").to_numpy()
-        leaf = np.zeros(len(x), np.int64)
-        for n, at in enumerate(compact_leaves(x, least)):
-            leaf[at] = n
-        a, b = [], []
-        for lo in range(0, len(x), BLOCK):  # leaves that a split has torn apart
-            i, j, _ = scan(x[lo : lo + BLOCK], x, least)
-            apart = leaf[i + lo] < leaf[j]
-            both = np.unique(np.stack([leaf[i[apart] + lo], leaf[j[apart]]]), axis=1)
-            a.append(both[0]), b.append(both[1])
-        root = _roots(len(x) + 1, np.concatenate(a), np.concatenate(b))[leaf] if len(x) else leaf
-        size = np.bincount(root, minlength=len(x) + 1)
-        mine = np.bincount(root[own], minlength=len(x) + 1)
-        rows = np.flatnonzero((size[root] > 1) & (mine[root] > 0))
+        part, own = table.column("part").to_numpy(), table.column("own").to_numpy(zero_copy_only=False)
+        head = np.arange(len(part))
+        if len(part) and (part == part[0]).all():
+            mine = np.flatnonzero(own)
+            for leaf in compact_leaves(unpacked(table.column("v"), dim)[mine], least):
+                head[mine[leaf]] = mine[leaf[0]]
+        rows = np.flatnonzero(head != np.arange(len(head)))
+        links = [np.stack([head[rows], rows])]
+        for i, j, _ in _meetings(table, dim, least):
+            both = np.stack([head[i], head[j]])
+            links.append(np.unique(both[:, both[0] != both[1]], axis=1))
+        a, b = np.unique(np.concatenate(links, axis=1), axis=1)
         keys = table.column("k").combine_chunks()
-        first = np.full(len(x) + 1, len(x), np.int64)
-        np.minimum.at(first, root, np.arange(len(x)))
-        head = first[root[rows]]
-        rows, head = rows[rows != head], head[rows != head]
-        return pa.table({"a": keys.take(pa.array(head)), "b": keys.take(pa.array(rows))})
+        return pa.table({"a": keys.take(pa.array(a)), "b": keys.take(pa.array(b))})
 
     return run
 
@@ -345,7 +453,7 @@ def _pairwise(dim: int, least: float) -> Callable[[pa.Table], pa.Table]:
 
 
 def clusters(
-    vectors: DataFrame, min_similarity: float = 0.70, min_size: int = 5, dim: int = 128, probes: int = PROBES + 1,
+    vectors: DataFrame, min_similarity: float = 0.70, min_size: int = 5, dim: int = 128, probes: int | None = None,
     id_col: str = "record_id", vector_col: str = "nl_embedding",
 ) -> tuple[DataFrame, DataFrame]:
     """``(record_id, cluster_id)`` of every record in a cluster, and the clusters' members with their places.
@@ -361,8 +469,8 @@ def clusters(
     checked exactly, pair by pair in blocks, so a group that isn't a cluster
     doesn't come out. Large groups are checked by many tasks.
     """
-    lay = Layout(vectors, dim, probes, id_col=id_col, vector_col=vector_col)
-    links = lay.lists().groupBy("list").applyInArrow(_fragments(dim, min_similarity), "a string, b string")
+    lay = Layout(vectors, dim, min_similarity, probes, id_col=id_col, vector_col=vector_col)
+    links = lay.lists().groupBy("list", "lo", "hi").applyInArrow(_fragments(dim, min_similarity), "a string, b string")
     group = hash_to_min(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     members = lay.members.join(group, F.col("k") == F.col("node"), "left").select("id", "k", F.coalesce("group_id", "k").alias("g"))
     members, _ = cut(members, "grouped")
