@@ -356,8 +356,7 @@ def tfidf_weights(spark, d):
     return dedup.tfidf(r).join(r.select("ord", "id"), "ord").select("id", "term", F.round("w", 6).alias("w"))
 
 
-@query(
-    f"""with {_TFIDF}, s as (select id, {_CODE_SQL} as code from {_ONCE}),
+_EDGES = f"""{_TFIDF}, s as (select id, {_CODE_SQL} as code from {_ONCE}),
     sig as (select id, case when code is null or code = '' then '' else sha256({_STRIP.format(r"regexp_replace(regexp_replace(code, '(?m)#.*$', '', 'g'), '[\s\x{A0}\x{2000}-\x{200A}\x{3000}]+', ' ', 'g')")}) end as signature from s),
     first as (select title_key, min(ord) as o from k group by title_key),
     v as (select k.id, k.ord, k.title, list_distinct(k.t) as t, list_distinct(list_slice({_TOKENS.format('k.description')}, 1, 50)) as dt, signature,
@@ -365,25 +364,36 @@ def tfidf_weights(spark, d):
           from k join sig using (id) left join first using (title_key) where k.title_key = '' or k.ord = first.o),
     tok as (select ord, unnest(t) as tok from v), ok as (select * from tok where tok not in {tuple(text.BLOCKING_STOPWORDS)}),
     p as (select distinct a.ord as ao, b.ord as bo from ok a join ok b using (tok) where a.ord < b.ord),
-    j as (select a.id as aid, b.id as bid, a.signature <> '' and a.signature = b.signature as code,
+    j as (select ao, bo, a.id as aid, b.id as bid, a.signature <> '' and a.signature = b.signature as code,
             len(list_intersect(a.t, b.t)) / (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t))) as tj,
             case when len(a.dt) = 0 or len(b.dt) = 0 then 0 else len(list_intersect(a.dt, b.dt)) / (len(a.dt) + len(b.dt) - len(list_intersect(a.dt, b.dt))) end as dj
           from p join v a on a.ord = ao join v b on b.ord = bo where not (a.base <> '' and a.base = b.base and lower(trim(a.title)) <> lower(trim(b.title)))),
-    c as (select aid, bid, any_value(code) as code, any_value(tj) as tj, any_value(dj) as dj, coalesce(sum(x.w * y.w), 0) as cos
-          from j left join w x on x.id = aid left join w y on y.id = bid and y.term = x.term where tj >= 0.25 group by aid, bid),
-    s2 as (select least(aid, bid) as a, greatest(aid, bid) as b, case when tj >= 0.8 and dj >= 0.6 then 'token_jaccard' when cos >= 0.9 then 'embedding' when code then 'code_ast' end as stage from c)
-    select * from s2 where stage is not null"""
-)
+    c as (select ao, bo, aid, bid, any_value(code) as code, any_value(tj) as tj, any_value(dj) as dj, coalesce(sum(x.w * y.w), 0) as cos
+          from j left join w x on x.id = aid left join w y on y.id = bid and y.term = x.term where tj >= 0.25 group by ao, bo, aid, bid),
+    s2 as (select ao, bo, aid, bid, case when tj >= 0.8 and dj >= 0.6 then 'token_jaccard' when cos >= 0.9 then 'embedding' when code then 'code_ast' end as stage,
+            case when tj >= 0.8 and dj >= 0.6 then (tj + dj) / 2 when cos >= 0.9 then least(cos, 1) else 1 end as score from c),
+    e as (select row_number() over (order by ao, bo) as i, * from s2 where stage is not null)"""
+
+
+@query(f"with {_EDGES} select least(aid, bid) as a, greatest(aid, bid) as b, stage, round(score, 6) as score from e")
 def near_dup_edges(spark, d):
     r = dedup.numbered(canonical(spark, d).withColumn("signature", F.col("canonical_solution.ast_signature"))).drop("ord").withColumnRenamed("n", "ord")
     k = cut(dedup.keyed(r), "keys")
     e = dedup.edges(r, k.join(dedup.title_matches(k), "ord", "left_anti"))
     ids = k.select("ord", "id")
     named = e.join(ids.select(F.col("ord").alias("a"), F.col("id").alias("x")), "a").join(ids.select(F.col("ord").alias("b"), F.col("id").alias("y")), "b")
-    return named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "stage")
+    return named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "stage", F.round("score", 6).alias("score"))
 
 
-@query()
+# The greedy pass over the sorted pairs, one after the other; exact titles come first.
+_MATCHES = f"""recursive {_EDGES},
+    g(i, gone, hit) as (select 0::bigint, []::bigint[], false union all
+      select e.i, case when list_contains(gone, ao) or list_contains(gone, bo) then gone else list_append(gone, bo) end, not (list_contains(gone, ao) or list_contains(gone, bo)) from g join e on e.i = g.i + 1),
+    m as (select f.id as canonical, k.id as duplicate, f.ord as co, k.ord as o, 'title_key' as stage, 1.0::double as score from k join first on k.title_key = first.title_key join k f on f.ord = first.o where k.title_key <> '' and k.ord > first.o
+      union all select aid, bid, ao, bo, stage, score from g join e using (i) where hit)"""
+
+
+@query(f"with {_MATCHES} select canonical, duplicate, stage, round(score, 6) as score from m")
 def near_dup_resolution(spark, d):
     r = canonical(spark, d).withColumn("signature", F.col("canonical_solution.ast_signature"))
     ids = r.select("ord", "id")
@@ -392,13 +402,29 @@ def near_dup_resolution(spark, d):
     return named.select("canonical", "duplicate", "stage", F.round("score", 6).alias("score"))
 
 
-@query()
+# Survivors take the sources and known tags of their duplicates: near ones have by then those of their own exact ones.
+_MERGED = f"""{_MATCHES},
+    o as (select k.id, k.ord, k.title, r.source_list as src, case when len(x) = 0 then ['unknown'] else list_distinct(x) end as tg, coalesce(length(code), 0) > 0 as solved
+      from k join {_ONCE} r using (id) join s using (id) join (select id, list_filter(list_transform(coalesce(tags, []), lambda t: {_case(text.TAGS, "regexp_replace(lower(trim(t)), '[^a-z0-9]', '', 'g')", "replace(replace(lower(trim(t)), ' ', '-'), '_', '-')")}), lambda t: t <> '') as x from {_ONCE}) using (id)),
+    x1 as (select co, count(*) as n, flatten(list(src)) as src, flatten(list(list_filter(tg, lambda t: t <> 'unknown'))) as tg, bool_or(solved) as solved, list(title) as names from m join o on o.ord = m.o where stage = 'title_key' group by co),
+    m1 as (select id, ord, title, 1 + coalesce(n, 0) as version, list_distinct(list_concat(o.src, coalesce(x1.src, []))) as src, list_distinct(list_concat(o.tg, coalesce(x1.tg, []))) as tg, o.solved or coalesce(x1.solved, false) as solved,
+      list_distinct(list_filter(coalesce(names, []), lambda a: a <> title)) as names from o left join x1 on x1.co = o.ord),
+    x2 as (select co, count(*) as n, flatten(list(src)) as src, flatten(list(list_filter(tg, lambda t: t <> 'unknown'))) as tg, bool_or(solved) as solved, list(title) as names from m join m1 on m1.ord = m.o where stage <> 'title_key' group by co),
+    m2 as (select id, ord, title, version + coalesce(n, 0) as version, list_distinct(list_concat(m1.src, coalesce(x2.src, []))) as src, list_distinct(list_concat(m1.tg, coalesce(x2.tg, []))) as tg, m1.solved or coalesce(x2.solved, false) as solved,
+      list_distinct(list_concat(m1.names, list_filter(coalesce(x2.names, []), lambda a: a <> title))) as names from m1 left join x2 on x2.co = m1.ord),
+    done as (select m2.*, m.canonical from m2 left join m on m.o = m2.ord)"""
+
+
+@query(f"with {_MERGED} select id, coalesce(title, '') as title, canonical as deduplicated_into, version::int as version, solved as has_solution, array_to_string(list_sort(src), '|') as sources, array_to_string(list_sort(tg), '|') as tags, len(names)::int as n_aliases from done")
 def consolidated_records(spark, d):
     done = dedup_records(canonical(spark, d))
     return done.select("id", "title", "deduplicated_into", "version", "has_solution", _strings(F.col("source_list")).alias("sources"), _strings(F.col("tags")).alias("tags"), F.size("aliases").alias("n_aliases"))
 
 
-@query()
+@query(
+    f"""with {_MERGED} select count(*) as parsed, count(canonical) as duplicates, count(*) - count(canonical) as stored, count(*) filter (canonical is null and solved) as with_solution, count(*) filter (canonical is null) as needs_review,
+    round(count(canonical) / count(*), 4) as duplicate_rate, 1.0::double as needs_review_rate from done"""
+)
 def ingest_metrics(spark, d):
     return metrics_of(validate(dedup_records(canonical(spark, d))))
 
@@ -583,7 +609,7 @@ def streamed_windows(spark, d):
     return spark.table(name).select("window_start", "event_type", "n", F.round("total", 4).alias("total"))
 
 
-@query()
+@query("select pattern_id, label, (size + 1)::bigint as size from patterns")
 def snapshot_store(spark, d):
     """The patterns written to a store twice; the second time replaces the first."""
     store = Snapshots(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}", PATTERN)
