@@ -119,6 +119,7 @@ class ItemIndex:
         self.ids, self.len = ids, np.array([len(w) for w in words], np.int64)
         self.first = np.cumsum(self.len) - self.len
         self.words = np.concatenate([*words, np.zeros(window, np.uint64)])
+        self.vocabulary, self.numbers = np.unique(self.words, return_inverse=True)
         n = np.maximum(self.len - window + 1, 0)
         self.item = np.repeat(np.arange(len(ids)), n)
         self.at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -200,6 +201,7 @@ def leaks(
 def _search(shared, min_run: int, max_edits: float, stride: int, item_type, id_col: str, item_id: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
+        present = np.zeros(len(index.vocabulary) + 1, bool)
         for whole in batches:
             for batch in (whole.slice(i, 500) for i in range(0, whole.num_rows, 500)):
                 texts = [word_ids(t) if t else [] for t in batch.column(1).to_pylist()]
@@ -211,6 +213,8 @@ def _search(shared, min_run: int, max_edits: float, stride: int, item_type, id_c
                 at = (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * stride
                 best: dict[tuple[int, int], list[int]] = {}
                 if len(doc):
+                    numbers = np.minimum(np.searchsorted(index.vocabulary, words), len(index.vocabulary) - 1)
+                    numbers[index.vocabulary[numbers] != words] = len(index.vocabulary)
                     a, b = index.meet(sampled_keys(cgk(words, first[doc] + at, index.window), index.keys, index.sampled))
                     lines = np.unique(np.stack([doc[a], index.item[b], at[a] - index.at[b]]), axis=1)
                     for d, i, shift in lines.T.tolist():
@@ -219,11 +223,14 @@ def _search(shared, min_run: int, max_edits: float, stride: int, item_type, id_c
                         lo, hi = max(0, shift), min(n, shift + size)
                         run_ = longest_run(words[first[d] + lo : first[d] + hi], item[lo - shift : hi - shift])
                         limit = int(max_edits * size)
-                        old = best.setdefault((d, i), [0, size])
-                        old[0] = max(old[0], run_)
-                        if old[1] > 0 and (run_ >= min_run or limit):
-                            lo, hi = max(0, shift - limit), min(n, shift + size + limit)
-                            old[1] = min(old[1], nearest_distance(words[first[d] + lo : first[d] + hi], item))
+                        lo, hi = first[d] + max(0, shift - limit), first[d] + min(n, shift + size + limit)
+                        near = numbers[lo:hi]
+                        present[near] = True
+                        missing = size - np.count_nonzero(present[index.numbers[index.first[i] : index.first[i] + size]])
+                        present[near] = False
+                        if run_ >= min_run or missing <= limit > 0:  # every word of the item that isn't there is an edit
+                            old = best.setdefault((d, i), [0, size])
+                            best[d, i] = [max(old[0], run_), min(old[1], nearest_distance(words[lo:hi], item))]
                     best = {di: v for di, v in best.items() if v[0] >= min_run or v[1] <= int(max_edits * index.len[di[1]])}
                 yield pa.RecordBatch.from_arrays(
                     [
