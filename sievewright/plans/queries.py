@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import policy, text, vectors
 from ..operators import dedup, patterns as P, sandbox as S, templates as T, views
 from ..operators.clients import ScriptedClient
-from ..operators.normalize import schemas_of, validate
+from ..operators.normalize import normalize, schemas_of, validate
 from ..schemas import PATTERN
-from ..sources.readers import Source, read, read_problems
+from ..sources.readers import Source, read, read_all, read_problems
 from ..tables import Snapshots, cut, shared_dir, stored, upsert_records
 from .ingest import dedup_records, metrics_of
 from .mining import mine
@@ -513,10 +513,82 @@ def extract_json_block(spark, d):
     return r.select("id", F.md5(T.json_block(F.concat(F.lit("```json\n"), "payload", F.lit("\n```")))).alias("block_md5"))
 
 
-@query()
+# What examples of the test tables can look like: named values, a placeholder, nothing.
+_SHAPE_SQL = """
+    case when n = 0 then '{{}}' when a = n then '{{"type": "object", "properties": {{"pairs": {{"type": "array<array<integer>>"}}, "nums": {{"type": "array<integer>"}}, "k": {{"type": "integer"}}}}, "required": ["pairs", "nums", "k"]}}'
+      when a = 0 then '{{"type": "string"}}' else '{{"type": "any"}}' end as input_schema,
+    case when n = 0 then '{{}}' when a = n then '{{"type": "integer"}}' when a = 0 then '{{"type": "string"}}' else '{{"type": "any"}}' end as output_schema,
+    case when n = 0 then 0.0 else round(0.5 * (0.85 * a + 0.5 * (n - a)) / n + 0.5 * case when a = n then 0.85 when a = 0 then 0.8 else 0.3 end, 3) end::double as confidence"""
+
+
+def _nested(examples):
+    """Examples with a nested list before their own values, as inference must take it whole."""
+    named = lambda e: F.when(e["input"].contains("="), F.concat(F.lit("pairs = [[1, 2], [3]], "), e["input"])).otherwise(e["input"])
+    return F.transform(examples, lambda e: F.struct(named(e).alias("input"), e["output"].alias("output"), F.concat(F.lit("a &lt; b "), e["explanation"]).alias("explanation")))
+
+
+@query(
+    f"""with x as (select id, seq_no, list_filter(coalesce(examples, []), lambda e: e.input <> '') as ex from new_records),
+    y as (select id, seq_no, len(ex) as n, len(list_filter(ex, lambda e: contains(e.input, '='))) as a from x) select id, seq_no, {_SHAPE_SQL.format()} from y"""
+)
 def schema_inference(spark, d):
-    s = schemas_of("examples")
-    return table(spark, d, "new_records").select("id", "seq_no", s.alias("s")).select("id", "seq_no", "s.*")
+    given = F.transform(F.filter("examples", lambda e: e["input"] != ""), lambda e: F.struct(e["input"].alias("input"), e["output"].alias("output"), F.lit("").alias("explanation")))
+    s = schemas_of(_nested(given))
+    return table(spark, d, "new_records").select("id", "seq_no", s.alias("s")).select("id", "seq_no", F.col("s.input_schema").alias("input_schema"), F.col("s.output_schema").alias("output_schema"), F.col("s.confidence").alias("confidence"))
+
+
+_LICENSES = ("MIT", " Educational ", "CC-BY-SA-4.0")
+_UNESCAPED = "replace(replace(replace(replace(replace(replace({0}, '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&amp;', '&')"
+
+
+def _cleaned(x: str) -> str:
+    x = rf"regexp_replace(regexp_replace(regexp_replace({_UNESCAPED.format(x)}, '<[^>]+>', ' ', 'g'), '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10)||chr(10), 'g')"
+    return _STRIP.format(x)
+
+
+
+@query(
+    rf"""with r as (select distinct id, payload as p from records where json_valid(payload)),
+    x as (select id, ascii(id) % {len(_LICENSES)} as k, json_extract_string(p, '$.title') as t, coalesce(json_extract_string(p, '$.description') || ' 1 &lt; 2 &amp;amp; <b>x</b>', '') as dd, json_extract_string(p, '$.difficulty') as level,
+        list_filter(json_extract_string(p, '$.tags[*]'), lambda t: t is not null and t <> '') as tg, list_transform(list_filter(json_extract_string(p, '$.constraints[*]'), lambda c: c is not null), lambda c: '0 &lt; ' || c) as cs,
+        coalesce(length(json_extract_string(p, '$.canonical_solution.code')), 0) > 0 as has_solution,
+        list_filter(coalesce(from_json(json_extract(p, '$.examples'), '[{{"input":"VARCHAR","output":"VARCHAR","explanation":"VARCHAR"}}]'), []), lambda e: e.input <> '' and e.output <> '') as ex from r where json_extract_string(p, '$.title') <> ''),
+    y as (select *, {_cleaned('t')} as title, {_cleaned('dd')} as description, {_case(text.DIFFICULTIES, 'lower(' + _STRIP.format('level') + ')', chr(39) + 'unknown' + chr(39))} as difficulty,
+        list_filter(list_transform(tg, lambda t: {_case(text.TAGS, "regexp_replace(lower(trim(t)), '[^a-z0-9]', '', 'g')", "replace(replace(lower(trim(t)), ' ', '-'), '_', '-')")}), lambda t: t <> '') as ct,
+        len(ex) as n, len(list_filter(ex, lambda e: contains(e.input, '='))) as a from x),
+    z as (select *, {_SHAPE_SQL.format()} from y)
+    select 's' || k as source_name, title, md5(description) as description_md5, difficulty, case when len(ct) = 0 then 'unknown' else array_to_string(list_sort(list_distinct(ct)), '|') end as tags, has_solution,
+      array_to_string(list_filter(list_transform(cs, lambda c: {_cleaned('c')}), lambda c: c <> ''), '|') as constraints,
+      array_to_string(list_transform(ex, lambda e: coalesce({_cleaned("('a &lt; b ' || e.explanation)")}, '')), '|') as explanations, input_schema, output_schema, confidence,
+      sha256(lower(title) || chr(10) || lower(description)) as content_hash, k = 2 as requires_legal_review, k = 0 as public_allowed,
+      array_to_string(list_filter([case when k = 2 then 'license ''CC-BY-SA-4.0'' requires legal review' end, case when title = '' then 'missing title' end,
+        case when description = '' then 'missing description' when length(description) < 20 then 'description shorter than 20 chars' when length(description) > 20000 then 'description longer than 20000 chars' end,
+        case when difficulty = 'unknown' then 'difficulty unknown/unnormalized' end, case when len(list_filter(ct, lambda t: t <> 'unknown')) = 0 then 'no tags inferred' end,
+        case when n = 0 then 'no examples to infer schema from' when confidence < 0.5 then 'schema_inference_confidence ' || confidence || ' below threshold 0.5' end], lambda q: q is not null), '; ') as reasons from z"""
+)
+def normalized_records(spark, d):
+    """The stored payloads as JSON lines of three sources with licenses of their own, scanned, normalized and validated.
+
+    Texts, constraints and explanations bear entities, inputs bear nested lists.
+    """
+    get = lambda p: F.get_json_object("payload", p)
+    strings = lambda p: F.from_json(get(p), "array<string>")
+    r = table(spark, d, "records").where(F.try_parse_json("payload").isNotNull()).select("id", "payload").distinct()
+    problem = F.struct(
+        get("$.title").alias("title"), F.concat(get("$.description"), F.lit(" 1 &lt; 2 &amp;amp; <b>x</b>")).alias("description"), get("$.difficulty").alias("difficulty"), strings("$.tags").alias("tags"),
+        F.transform(strings("$.constraints"), lambda c: F.concat(F.lit("0 &lt; "), c)).alias("constraints"), get("$.canonical_solution.code").alias("solution"),
+        _nested(F.from_json(get("$.examples"), "array<struct<input:string,output:string,explanation:string>>")).alias("examples"),
+    )
+    path = f"{shared_dir(spark)}/scan-{uuid.uuid4().hex}"
+    r.select((F.ascii("id") % len(_LICENSES)).alias("k"), F.to_json(problem).alias("value")).write.partitionBy("k").text(path)
+    sources = [Source("jsonl", f"{path}/k={k}", f"s{k}", license) for k, license in enumerate(_LICENSES)]
+    n = validate(normalize(read_all(spark, sources)))
+    return n.select(
+        "source_name", "title", F.md5("description").alias("description_md5"), "difficulty", _strings(F.col("tags")).alias("tags"), "has_solution", F.array_join("constraints", "|").alias("constraints"),
+        F.array_join(F.transform("examples", lambda e: F.coalesce(e["explanation"], F.lit(""))), "|").alias("explanations"), "input_schema", "output_schema", F.col("schema_inference_confidence").alias("confidence"),
+        F.col("fingerprints.content_hash").alias("content_hash"), F.col("license_meta.requires_legal_review").alias("requires_legal_review"), F.col("license_meta.public_allowed").alias("public_allowed"),
+        F.array_join("validation.reasons", "; ").alias("reasons"),
+    )
 
 
 @query()
