@@ -12,7 +12,7 @@ from ..operators import dedup, patterns as P, sandbox as S, templates as T, view
 from ..operators.clients import ScriptedClient
 from ..operators.normalize import normalize, schemas_of, validate
 from ..schemas import PATTERN
-from ..sources.readers import Source, read, read_all, read_problems
+from ..sources.readers import Source, read, read_all, read_pages, read_problems
 from ..tables import Snapshots, cut, shared_dir, stored, upsert_records
 from .ingest import dedup_records, metrics_of
 from .mining import mine
@@ -258,7 +258,12 @@ def assign_sequential(spark, d):
     return P.assign_sequential(rows, _patterns(spark, d)).withColumn("confidence", F.round("confidence", 5))
 
 
-@query()
+@query(
+    f"""with f as (select distinct record_id, nl_embedding as x from fingerprints where {_USABLE.format('nl_embedding')}), p as (select pattern_id, size, centroid from patterns where {_USABLE.format('centroid')}),
+    s as (select record_id, any_value(x) as x, arg_max(pattern_id, cos) as pattern_id, max(cos) as cos from (select record_id, x, pattern_id, {_COS.format('x', 'centroid')} as cos from f cross join p) group by record_id),
+    m as (select pattern_id, count(*) as m, avg(x[1]::double) as mean from s where cos >= 0.8 group by pattern_id)
+    select pattern_id, coalesce(p.size, 0) + coalesce(m, 0) as size, round(case when m is null then centroid[1]::double else (centroid[1]::double * coalesce(p.size, 0) + mean * m) / (coalesce(p.size, 0) + m) end, 5) as first_value from p left join m using (pattern_id)"""
+)
 def updated_centroids(spark, d):
     f = _fingerprints(spark, d)
     got = P.assign_snapshot(f, _patterns(spark, d)).where("pattern_id is not null")
@@ -277,7 +282,10 @@ def unassigned(spark, d):
     return P.unassigned(f, a, hashes).select(F.col("id").alias("problem_id"))
 
 
-@query()
+@query(
+    f"""with {_CENTROIDS}, s as (select e.vec_id, arg_max(c.label, {_COS.format('e.embedding', 'c.centroid')}) as near, max({_COS.format('e.embedding', 'c.centroid')}) as cos from embeddings e cross join cents c where e.label = 0 and c.label > 0 group by e.vec_id)
+    select vec_id as id, case when label <> 0 then label when cos >= 0.75 then near else -1 end as label from embeddings left join s using (vec_id)"""
+)
 def noise_reassigned(spark, d):
     m = _members(spark, d)
     return P.reassign_noise(m.select("id", "embedding"), m.select("id", F.when(F.col("label") == 0, -1).otherwise(F.col("label")).alias("label")))
@@ -466,11 +474,11 @@ _REPS = "(select id, any_value(title) as title from records group by id)"
 
 @query(
     f"""select pattern_id, size, representative from (select p.*, r.title from patterns p left join {_REPS} r on r.id = p.representative)
-    where lower(label) like '%tree%' or lower(top_tags) like '%tree%' or lower(title) like '%tree%' or pattern_id like '%tree%'"""
+    where lower(label) like '%graph%' or lower(top_tags) like '%graph%' or lower(title) like '%graph%' or pattern_id like '%graph%'"""
 )
 def pattern_search(spark, d):
     p = table(spark, d, "patterns").withColumn("top_tags", F.from_json("top_tags", "array<string>"))
-    return views.search_patterns(p, table(spark, d, "records").dropDuplicates(["id"]), "tree", limit=0).select("pattern_id", "size", "representative")
+    return views.search_patterns(p, table(spark, d, "records").dropDuplicates(["id"]), "GRAPH", limit=0).select("pattern_id", "size", "representative")
 
 
 @query("select pattern_id, size from patterns order by size desc nulls last, pattern_id limit 10")
@@ -654,6 +662,59 @@ def csv_scan(spark, d):
     return read(spark, Source("csv", path, "new")).select("title", F.md5(F.regexp_replace("description", "\r", "")).alias("description_md5"), F.get(F.sort_array("tags"), F.lit(0)).alias("first_tag"))
 
 
+@query(f"select batch_no::bigint as document, title, coalesce(nullif(description, ''), '') as description, coalesce(len(tags), 0) as n_tags, coalesce(len(examples), 0) as n_examples {_NAMED}")
+def json_scan(spark, d):
+    """Each batch as one JSON document with its problems under ``questions``."""
+    rows = table(spark, d, "new_records").select("batch_no", F.struct("title", "description", "tags", "examples").alias("q"))
+    path = f"{shared_dir(spark)}/scan-{uuid.uuid4().hex}"
+    rows.groupBy("batch_no").agg(F.to_json(F.struct(F.collect_list("q").alias("questions"))).alias("value")).write.partitionBy("batch_no").text(path)
+    document = F.regexp_extract("raw_file", r"batch_no=(\d+)", 1).cast("long").alias("document")
+    return read(spark, Source("json", path, "new")).select(document, "title", "description", F.size("tags").alias("n_tags"), F.size("examples_raw").alias("n_examples"))
+
+
+def _escaped(c: str):
+    return F.replace(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+@query(
+    f"""select 'page-' || doc_id as raw_file, doc_id as raw_offset, 'parse_html_v1' as parser, {_STRIP.format('title')} as title, md5({_STRIP.format("coalesce(text, '')")}) as description_md5, case when lang is not null and trim(lang) <> '' then trim(lang) end as tag
+    from documents where {_STRIP.format("coalesce(title, '')")} <> ''"""
+)
+def html_pages(spark, d):
+    """Each document as a page with heading, script, description and a tag, read from a table of pages."""
+    t = table(spark, d, "documents")
+    html = F.concat(
+        F.lit("<html><head><title>page</title></head><body><h1>"), _escaped("title"), F.lit("</h1><script>no</script><div class='main description'><p>"), _escaped("text"),
+        F.lit("</p></div><i class='tag-x'>"), _escaped("lang"), F.lit("</i></body></html>"),
+    )
+    pages = t.select(F.concat(F.lit("page-"), F.col("doc_id").cast("string")).alias("raw_file"), html.alias("text"), F.col("doc_id").alias("offset"))
+    got = read_pages(pages, Source("html", "", "documents"))
+    return got.select("raw_file", "raw_offset", "parser", "title", F.md5("description").alias("description_md5"), F.get("tags", F.lit(0)).alias("tag"))
+
+
+@query(
+    f"""select 'page-' || doc_id as raw_file, doc_id as raw_offset, 'parse_markdown_v1' as parser, {_STRIP.format('title')} as title, true as is_premium, 'Hard' as difficulty, 'graph|' || doc_kind as tags, '1 <= n|m^2 > 2' as constraints,
+    'n = [' || doc_id || ', 2]' as example_input, 'why ' || doc_id as explanation, 'print(' || doc_id || ')' as code, 'python' as language from documents where {_STRIP.format("coalesce(title, '')")} <> ''"""
+)
+def markdown_pages(spark, d):
+    """Each document as a marked Markdown page, read from a table of pages."""
+    t, i = table(spark, d, "documents"), F.col("doc_id").cast("string")
+    parts = [
+        "---\ncomments: true\ndifficulty: Hard\ntags:\n  - graph\n  - ", F.coalesce("doc_kind", F.lit("none")), "\n---\n\n<!-- problem:start -->\n\n# [12. ", F.coalesce("title", F.lit("")), " 🔒](https://example.invalid)\n\n<!-- description:start -->\n<p>",
+        _escaped("text"), "</p>\n<p><strong>Example:</strong></p>\n<pre>\n<strong>Input:</strong> n = [", i, ", 2]\n<strong>Output:</strong> 1\n<strong>Explanation:</strong> why ", i,
+        "\n</pre>\n<p><strong>Constraints:</strong></p>\n<ul><li>1 &lt;= n</li><li>m<sup>2</sup> &gt; 2</li></ul>\n<!-- description:end -->\n\n## Solutions\n\n#### Java\n\n```java\nclass S {}\n```\n\n#### Python3\n\n```python\nprint(",
+        i, ")\n```\n\n<!-- solution:end -->\n",
+    ]
+    page = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    pages = t.where(F.coalesce("title", F.lit("")) != "").select(F.concat(F.lit("page-"), i).alias("raw_file"), page.alias("text"), F.col("doc_id").alias("offset"))
+    got = read_pages(pages, Source("markdown", "", "documents"))
+    first = F.get("examples_raw", F.lit(0))
+    return got.select(
+        "raw_file", "raw_offset", "parser", "title", "is_premium", "difficulty", F.array_join("tags", "|").alias("tags"), F.array_join("constraints", "|").alias("constraints"),
+        first["input"].alias("example_input"), first["explanation"].alias("explanation"), F.col("solution_code").alias("code"), F.col("solution_language").alias("language"),
+    )
+
+
 @query("select count(*) as n, sum(len(coalesce(examples, [])))::bigint as n_examples from new_records")
 def problems_scan(spark, d):
     rows = read_problems(spark, _lines(spark, d))

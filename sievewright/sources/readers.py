@@ -21,10 +21,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from ..schemas import RAW
+from ..tables import cut
 from .pages import html_problem, markdown_problem
 from .rows import ALIASES, as_list, problem
 
 _BATCH = 1000
+#: Blocks of text files whose beginnings are broadcast.
+BROADCAST_BLOCKS = 1_000_000
 
 
 @cache
@@ -77,7 +80,9 @@ def lines_with_numbers(spark: SparkSession, path: str) -> DataFrame:
     """``(raw_file, text, offset)`` of each physical line, numbered from 0 in its file.
 
     Files are split as usual: a line's number is its place in its block plus the
-    lines of the blocks before, which a first pass counts. No text is shuffled.
+    lines of the blocks before, which a first pass counts. Where the blocks are at
+    most a million (128 TB of text in blocks of 128 MB), which is counted, their
+    beginnings are broadcast and no text is shuffled; more are joined by block.
     """
     raw = spark.read.text(path, lineSep="\n").select(
         F.col("_metadata.file_path").alias("raw_file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("text")
@@ -96,6 +101,8 @@ def lines_with_numbers(spark: SparkSession, path: str) -> DataFrame:
     counts = raw.groupBy("raw_file", "block").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("raw_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select("raw_file", "block", F.coalesce(before, F.lit(0)).alias("start"))
+    starts = cut(starts, "blocks")
+    starts = F.broadcast(starts) if starts.count() <= BROADCAST_BLOCKS else starts
     numbered = raw.mapInArrow(number, "raw_file string, block long, text string, place long")
     return numbered.join(starts, ["raw_file", "block"]).select("raw_file", "text", (F.col("start") + F.col("place")).alias("offset"))
 
@@ -154,10 +161,20 @@ def read_csv(spark: SparkSession, src: Source) -> DataFrame:
     return _parsed(_files(spark, src.path).withColumn("offset", F.lit(0)), _csv, src, "parse_csv_v1")
 
 
+#: Kinds of pages: what reads one, and the parser's name.
+PAGES: dict[str, tuple[Callable[[str], dict | None], str]] = {"html": (html_problem, "parse_html_v1"), "markdown": (markdown_problem, "parse_markdown_v1")}
+
+
+def read_pages(pages: DataFrame, src: Source) -> DataFrame:
+    """Problems of pages that are a table already (raw_file, text, offset), as crawls of more pages than files keep them."""
+    parse, parser = PAGES[src.kind]
+    return _parsed(pages.select("raw_file", "text", "offset"), lambda t: ((0, p) for p in [parse(t)] if p), src, parser)
+
+
 def read_html(spark: SparkSession, src: Source) -> DataFrame:
     """HTML pages; the offset is the page's place among the files in the order of their paths."""
     files = _files(spark, src.path, None if src.path.endswith(".html") else "*.html")
-    return _parsed(_numbered(files, "raw_file"), lambda t: ((0, p) for p in [html_problem(t)] if p), src, "parse_html_v1")
+    return read_pages(_numbered(files, "raw_file"), Source("html", src.path, src.name, src.license, src.url, src.commit_hash))
 
 
 def _numbered(files: DataFrame, key: str) -> DataFrame:
@@ -191,7 +208,8 @@ def read_markdown(spark: SparkSession, src: Source) -> DataFrame:
     folder = F.regexp_replace("raw_file", "/[^/]*$", "")
     english = F.col("raw_file").endswith("_EN.md")
     one = files.withColumn("folder", folder).groupBy("folder").agg(F.max_by("text", english).alias("text"))
-    return _parsed(_numbered(one, "folder"), lambda t: ((0, p) for p in [markdown_problem(t)] if p), src, "parse_markdown_v1")
+    pages = _numbered(one, "folder").withColumnRenamed("folder", "raw_file")
+    return read_pages(pages, Source("markdown", src.path, src.name, src.license, src.url, src.commit_hash))
 
 
 READERS: dict[str, Callable[[SparkSession, Source], DataFrame]] = {
