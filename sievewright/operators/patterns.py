@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.text import LABEL_STOPWORDS
 from ..tables import cut
@@ -300,6 +301,21 @@ def mining_metrics(labels: DataFrame) -> DataFrame:
 # ---- incremental assignment
 
 
+def problem_hash(problems: DataFrame):
+    """A problem's content hash as a column: the one in its fingerprints where it has such a struct, else its own; empty for none."""
+    nested = "fingerprints" in problems.columns and isinstance(problems.schema["fingerprints"].dataType, StructType)
+    own = F.col("content_hash") if "content_hash" in problems.columns else F.lit(None).cast("string")
+    found = F.when(F.col("fingerprints").isNotNull(), F.col("fingerprints.content_hash")).otherwise(own) if nested else own
+    return F.coalesce(found, F.lit(""))
+
+
+def assigned_hashes(problems: DataFrame, assignments: DataFrame) -> DataFrame:
+    """``(content_hash)`` of the problems that have a pattern, each once."""
+    ids = assignments.select(F.col("problem_id").alias("id")).where("id is not null").distinct()
+    hashes = problems.select("id", problem_hash(problems).alias("content_hash")).join(ids, "id", "left_semi")
+    return hashes.where("content_hash <> ''").select("content_hash").distinct()
+
+
 def unassigned(problems: DataFrame, assignments: DataFrame, assigned_hashes: DataFrame) -> DataFrame:
     """Problems with an id and a title whose id and content hash aren't assigned yet, each id once."""
     return (

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -210,18 +210,34 @@ def check_template(template: dict, record: dict, seed: str, count: int = VARIANT
     return True, reasons, variants, _sha("".join(v["signature_hash"] for v in variants))
 
 
+def with_labels(records: DataFrame, assignments: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Records(id, tags) with the label of their pattern, else of their tags; a record in several patterns takes the last by id."""
+    last = assignments.where("problem_id is not null").groupBy(F.col("problem_id").alias("id")).agg(F.max("pattern_id").alias("pattern_id"))
+    named = last.join(patterns.select("pattern_id", "label"), "pattern_id", "left").select("id", "label")
+    return records.join(named, "id", "left").withColumn("pattern", pattern_label(F.col("label"), F.col("tags"))).drop("label")
+
+
 RESULT = (
     "canonical_problem_id string, template_id string, status string, attempts int, reasons array<string>, needs_review boolean, pattern string, "
-    "transform_seed string, template string, signature_hash string, variants array<struct<variant_seed:string,args:string,canonical_output:string,signature_hash:string>>"
+    "transform_seed string, template string, signature_hash string, provenance struct<canonical_problem_id:string,source_name:string,license:string,code_hash:string,transform_version:string>, variants array<struct<variant_seed:string,args:string,canonical_output:string,signature_hash:string>>"
 )
 
 
+def provenance(record: dict) -> dict:
+    """Where a template comes from: record, first source, license, code and version of the transformation."""
+    solution, license_ = record.get("canonical_solution") or {}, record.get("license_meta") or {}
+    return {
+        "canonical_problem_id": record.get("id"), "source_name": next(iter(record.get("source_list") or []), None), "license": license_.get("license"),
+        "code_hash": next(iter(solution.get("code_hashes") or []), None), "transform_version": VERSION,
+    }
+
+
 def reauthor(record: dict, client: Client, pattern: str, count: int = VARIANTS, attempts: int = ATTEMPTS, **limits) -> dict:
     """One record through prompt, answer (asked again while it can't be read), checks and variants."""
     spec = spec_of(record, pattern)
     prompt, template, error, n = prompt_of(spec), None, None, 0
     out = {"canonical_problem_id": record.get("id"), "template_id": _sha(f"{record.get('id')}:{spec['seed']}"), "pattern": pattern, "transform_seed": spec["seed"],
-           "template": None, "signature_hash": None, "variants": [], "needs_review": False}
+           "template": None, "signature_hash": None, "variants": [], "needs_review": False, "provenance": provenance(record)}
     while template is None and n < attempts:
         n += 1
         try:
@@ -267,6 +283,19 @@ def run_templates(records: DataFrame, client_of: Callable[[], Client], existing:
     return rows.select("record", "pattern", F.coalesce("data_unavailable", F.lit(False)).alias("gone")).mapInArrow(run, RESULT)
 
 
+def for_patterns(records: DataFrame, patterns: list[str], each: int | None = None) -> DataFrame:
+    """The records of some patterns, of each at most ``each`` in the order of their ids."""
+    some = records.where(F.col("pattern").isin(*patterns))
+    if each is None:
+        return some
+    return some.withColumn("_r", F.row_number().over(Window.partitionBy("pattern").orderBy("id"))).where(F.col("_r") <= each).drop("_r")
+
+
+def first_rejections(rejected: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` rejections by id, for a run's log."""
+    return rejected.orderBy("canonical_problem_id").limit(n)
+
+
 def template_metrics(results: DataFrame) -> DataFrame:
     n, ok = F.count("*"), F.count_if(F.col("status") == "accepted")
     return results.agg(

@@ -66,6 +66,38 @@ def numeric_id(c: Column) -> Column:
     return F.regexp_extract(c, r"(\d+)$", 1).try_cast("long") if hasattr(Column, "try_cast") else F.regexp_extract(c, r"(\d+)$", 1).cast("long")
 
 
+def difficulty_share(patterns: DataFrame) -> DataFrame:
+    """``(pattern_id, difficulty, n, share)`` of each pattern's histogram; a pattern of no problem counts as one."""
+    rows = patterns.select("pattern_id", F.explode("difficulty").alias("difficulty", "n")).where("n is not null")
+    total = patterns.select("pattern_id", F.aggregate(F.map_values("difficulty"), F.lit(0).cast("long"), lambda s, n: s + F.coalesce(n, F.lit(0).cast("long"))).alias("total"))
+    return rows.join(total, "pattern_id").select("pattern_id", "difficulty", "n", (F.col("n") / F.greatest("total", F.lit(1))).alias("share"))
+
+
+def split_by_review(templates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(templates accepted as they are, those that need a review)."""
+    review = F.coalesce("needs_review", F.lit(False))
+    return templates.where(~review), templates.where(review)
+
+
+def templates_text(templates: DataFrame, limit: int = 50) -> str:
+    """Fixed-width table of templates with their pattern, title and whether they need a review."""
+    line = "{:<14} {:<28} {:<40} {}".format
+    out = [line("Template", "Pattern", "Title", "Review")]
+    rows = templates.orderBy("pattern", "template_id").limit(limit).select("template_id", "pattern", F.get_json_object("template", "$.title").alias("title"), "needs_review")
+    for r in rows.collect():
+        out.append(line(r.template_id[:12], (r.pattern or "")[:28], (r.title or "")[:40], "yes" if r.needs_review else "no"))
+    return "\n".join(out)
+
+
+QUESTION = ("id", "title", "description", "difficulty", "tags", "examples", "constraints", "has_solution", "is_premium", "data_unavailable", "source_name", "source_list", "version", "pattern_id", "pattern_label")
+
+
+def question_payload(problems: DataFrame, assignments: DataFrame, patterns: DataFrame) -> DataFrame:
+    """What a dashboard shows of each question, as one JSON column: fifteen fields, no vectors."""
+    rows = questions(problems, assignments, patterns)
+    return rows.select("id", F.to_json(F.struct(*[c for c in QUESTION if c in rows.columns])).alias("question"))
+
+
 def run_data(templates: DataFrame, variants: DataFrame, records: DataFrame) -> DataFrame:
     """Templates with their records and the number of their variants; what is missing has a default."""
     n = variants.groupBy("template_id").agg(F.count("*").alias("n_variants"))

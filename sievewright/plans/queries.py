@@ -79,13 +79,20 @@ def canonical(spark: SparkSession, d: str) -> DataFrame:
     )
     return cut(shaped, "canonical")
 
+_UNESCAPED = "replace(replace(replace(replace(replace(replace({0}, '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&amp;', '&')"
+
+
+def _cleaned(x: str) -> str:
+    x = rf"regexp_replace(regexp_replace(regexp_replace({_UNESCAPED.format(x)}, '<[^>]+>', ' ', 'g'), '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10)||chr(10), 'g')"
+    return _STRIP.format(x)
+
 
 # ---- text
 
 
-@query(rf"select id, {_STRIP.format(r"regexp_replace(regexp_replace(regexp_replace(coalesce(description, ''), '<[^>]+>', ' ', 'g'), '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10)||chr(10), 'g')")} as cleaned from {_ONCE}")
+@query(f"select id, {_cleaned("coalesce(description, '')")} as cleaned from {_ONCE}")
 def clean_text(spark, d):
-    return once(spark, d).select("id", text.clean_text(F.col("description"), entities=False).alias("cleaned"))
+    return once(spark, d).select("id", text.clean_text(F.col("description")).alias("cleaned"))
 
 
 @query(f"select id, {_case(text.DIFFICULTIES, 'lower(' + _STRIP.format('difficulty') + ')', chr(39) + 'unknown' + chr(39))} as level from {_ONCE}")
@@ -94,11 +101,11 @@ def difficulty(spark, d):
 
 
 @query(
-    f"""select id, case when len(x) = 0 then 'unknown' else array_to_string(list_sort(list_distinct(x)), '|') end as canonical_tags from (
+    f"""select id, case when len(x) = 0 then 'unknown' else array_to_string(list_filter(x, lambda t, i: list_position(x, t) = i), '|') end as canonical_tags from (
       select id, list_filter(list_transform(coalesce(tags, []), lambda t: {_case(text.TAGS, "regexp_replace(lower(trim(t)), '[^a-z0-9]', '', 'g')", "replace(replace(lower(trim(t)), ' ', '-'), '_', '-')")}), lambda t: t <> '') as x from {_ONCE})"""
 )
 def tags(spark, d):
-    return once(spark, d).select("id", _strings(text.tags(F.col("tags"))).alias("canonical_tags"))
+    return once(spark, d).select("id", F.array_join(text.tags(F.col("tags")), "|").alias("canonical_tags"))
 
 
 @query(f"select doc_id, len(x) as n_tokens, len(list_distinct(x)) as n_distinct, x[1] as first_token from (select doc_id, {_TOKENS.format('text')} as x from documents)")
@@ -149,7 +156,8 @@ def compose_text(spark, d):
 
 @query("select id, coalesce(fingerprints.content_hash, '') as content_hash from new_records")
 def problem_hash(spark, d):
-    return table(spark, d, "new_records").select("id", F.coalesce("fingerprints.content_hash", F.lit("")).alias("content_hash"))
+    t = table(spark, d, "new_records")
+    return t.select("id", P.problem_hash(t).alias("content_hash"))
 
 
 # ---- policy and validation
@@ -311,15 +319,17 @@ def _by_source(spark, d):
     return canonical(spark, d).withColumn("label", F.element_at("source_list", 1)).withColumn("keep", F.lit(1))
 
 
-@query(
-    f"""with x as (select source_list[1] as label, lower(trim(unnest(tags))) as t from {_ONCE}), c as (select label, t, count(*) as n from x where t <> '' group by all),
-    k as (select label, n, row_number() over (partition by label order by n desc) as r from c) select label, string_agg(n::varchar, ',' order by r) as tag_counts from k where r <= 6 group by label"""
-)
+_TOP_TAGS = f"""tx as (select source_list[1] as label, created_at, id, generate_subscripts(tags, 1) as p, lower(trim(unnest(tags))) as t from {_ONCE}), tc as (select label, t, count(*) as n, min((created_at, id, p)) as first from tx where t <> '' group by all),
+    tk as (select label, t, row_number() over (partition by label order by n desc, first) as r from tc), tt as (select label, list(t order by r) as top_tags from tk where r <= 6 group by label)"""
+
+
+def _labelled(spark, d):
+    return once(spark, d).select(F.element_at("source_list", 1).alias("label"), "title", "tags", F.struct("created_at", "id").alias("ord"))
+
+
+@query(f"with {_TOP_TAGS} select label, array_to_string(top_tags, '|') as tags from tt")
 def top_tags(spark, d):
-    rows = once(spark, d).select(F.element_at("source_list", 1).alias("label"), F.xxhash64("id").alias("ord"), "tags")
-    top = P.top_tags(rows).select("label", F.posexplode("top_tags").alias("r", "t"))
-    counts = rows.select("label", F.explode("tags").alias("t")).withColumn("t", F.lower(F.trim("t"))).groupBy("label", "t").agg(F.count("*").alias("n"))
-    return top.join(counts, ["label", "t"]).groupBy("label").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("r", "n"))), lambda s: s["n"].cast("string")), ",").alias("tag_counts"))
+    return P.top_tags(_labelled(spark, d)).select("label", F.array_join("top_tags", "|").alias("tags"))
 
 
 @query(f"select source_list[1] as label, case when lower(trim(coalesce(difficulty, ''))) = '' then 'unknown' else lower(trim(difficulty)) end as difficulty, count(*) as n from {_ONCE} group by all")
@@ -327,9 +337,19 @@ def difficulty_histogram(spark, d):
     return P.difficulty_histogram(once(spark, d).withColumn("label", F.element_at("source_list", 1)))
 
 
-@query()
+# Words of a title are runs of Latin letters between characters that no word has.
+@query(
+    rf"""with {_TOP_TAGS}, w as (select source_list[1] as label, created_at, id, list_filter(list_transform(list_filter(regexp_extract_all(coalesce(title, ''), '[\pL\pN_]+'), lambda x: regexp_full_match(x, '[a-zA-Z]{{3,}}')), lambda x: lower(x)), lambda x: x not in {tuple(text.LABEL_STOPWORDS)}) as w from {_ONCE}),
+    g as (select label, created_at, id, 1 as k, generate_subscripts(w, 1) as p, unnest(w) as g from w union all
+      select label, created_at, id, 2, unnest(range(1, len(w))), unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from w),
+    c as (select label, k, g, count(*) as n, min((created_at, id, p)) as first from g group by all), r as (select *, row_number() over (partition by label, k order by n desc, first) as r from c),
+    u as (select label, coalesce(list(g order by r) filter (k = 2), []) as bi, coalesce(list(g order by r) filter (k = 1), []) as uni from r where (k = 2 and r <= 2 and n >= 2) or (k = 1 and r <= 4) group by label),
+    kw as (select label, list_reduce(list_prepend(bi, list_transform(uni, lambda x: [x])), lambda acc, x: case when len(acc) < 2 and not contains(array_to_string(acc, ' '), x[1]) then list_concat(acc, x) else acc end) as kw from u),
+    z as (select label, list_concat(list_slice(coalesce(top_tags, []), 1, 2), list_filter(coalesce(kw, []), lambda x: x not in list_slice(coalesce(top_tags, []), 1, 2))) as parts from tt full join kw using (label))
+    select label, case when len(parts) = 0 then 'algorithmic-pattern' else array_to_string(list_slice(parts, 1, 3), ' / ') end as name from z""".replace("x not in list_slice(coalesce(top_tags, []), 1, 2)", "not list_contains(list_slice(coalesce(top_tags, []), 1, 2), x)")
+)
 def cluster_labels(spark, d):
-    rows = once(spark, d).select(F.element_at("source_list", 1).alias("label"), "title", "tags", F.unix_micros("created_at").alias("ord"))
+    rows = _labelled(spark, d)
     t, k = P.top_tags(rows), P.title_ngrams(rows)
     return t.join(k, "label", "full_outer").select("label", P.label(F.col("top_tags"), F.col("keywords")).alias("name"))
 
@@ -499,6 +519,42 @@ def source_counts(spark, d):
     return table(spark, d, "sources").join(r, "source_name", "left").groupBy("source_name").agg(F.count("id").alias("n"), F.coalesce(F.min("trust_rank"), F.lit(0)).alias("rank"))
 
 
+@query(
+    """with h as (select pattern_id, unnest(from_json(difficulty_json, '{"easy":"BIGINT","medium":"BIGINT","hard":"BIGINT","unknown":"BIGINT"}'), recursive := true) from patterns),
+    l as (select pattern_id, unnest(['easy', 'medium', 'hard', 'unknown']) as difficulty, unnest([easy, medium, hard, unknown]) as n from h)
+    select pattern_id, difficulty, n, round(n / greatest(sum(n) over (partition by pattern_id), 1), 6) as share from l where n is not null"""
+)
+def difficulty_share(spark, d):
+    p = table(spark, d, "patterns").withColumn("difficulty", F.from_json("difficulty_json", "map<string,bigint>"))
+    return views.difficulty_share(p).withColumn("share", F.round("share", 6))
+
+
+@query("select id, pattern_id, pattern_label from (select distinct r.id, coalesce(a.pattern_id, 'Outlier') as pattern_id, coalesce(p.label, 'Outlier') as pattern_label, title from (select id, any_value(title) as title from records group by id) r left join (select problem_id, max(pattern_id) as pattern_id from pattern_assignments group by problem_id) a on a.problem_id = r.id left join patterns p using (pattern_id)) where pattern_id <> 'Outlier' and (lower(title) like '%graph%' or lower(pattern_label) like '%graph%')")
+def filtered_questions(spark, d):
+    a = table(spark, d, "pattern_assignments").groupBy("problem_id").agg(F.max("pattern_id").alias("pattern_id"))
+    rows = views.questions(table(spark, d, "records").groupBy("id").agg(F.any_value("title").alias("title")), a, table(spark, d, "patterns"))
+    return views.filter_questions(rows, clustered=True, text="Graph").select("id", "pattern_id", "pattern_label")
+
+
+@query("select pattern_id, size from (select pattern_id, size, regexp_extract(pattern_id, '(\\d+)$', 1)::bigint as n from patterns) order by n, pattern_id limit 5 offset 5")
+def second_page(spark, d):
+    """The second page of five patterns, by the number in their ids."""
+    p = table(spark, d, "patterns")
+    return views.page(p, [views.numeric_id(F.col("pattern_id")), "pattern_id"], 1, 5).select("pattern_id", "size")
+
+
+@query("select distinct content_hash from fingerprints f join pattern_assignments a on a.problem_id = f.record_id where content_hash is not null")
+def assigned_hashes(spark, d):
+    return P.assigned_hashes(table(spark, d, "fingerprints").withColumnRenamed("record_id", "id"), table(spark, d, "pattern_assignments"))
+
+
+@query("select distinct r.id, coalesce(p.label, 'unclassified') as pattern from (select distinct id from records) r left join (select problem_id, max(pattern_id) as pattern_id from pattern_assignments group by problem_id) a on a.problem_id = r.id left join patterns p using (pattern_id)")
+def labelled_records(spark, d):
+    """Records with the label of their pattern, as they go into re-authoring."""
+    r = table(spark, d, "records").select("id").distinct().withColumn("tags", F.array().cast("array<string>"))
+    return T.with_labels(r, table(spark, d, "pattern_assignments"), table(spark, d, "patterns")).select("id", "pattern")
+
+
 # ---- templates, sandbox
 
 
@@ -546,15 +602,6 @@ def schema_inference(spark, d):
 
 
 _LICENSES = ("MIT", " Educational ", "CC-BY-SA-4.0")
-_UNESCAPED = "replace(replace(replace(replace(replace(replace({0}, '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&amp;', '&')"
-
-
-def _cleaned(x: str) -> str:
-    x = rf"regexp_replace(regexp_replace(regexp_replace({_UNESCAPED.format(x)}, '<[^>]+>', ' ', 'g'), '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10)||chr(10), 'g')"
-    return _STRIP.format(x)
-
-
-
 @query(
     rf"""with r as (select distinct id, payload as p from records where json_valid(payload)),
     x as (select id, ascii(id) % {len(_LICENSES)} as k, json_extract_string(p, '$.title') as t, coalesce(json_extract_string(p, '$.description') || ' 1 &lt; 2 &amp;amp; <b>x</b>', '') as dd, json_extract_string(p, '$.difficulty') as level,
