@@ -17,11 +17,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import apart, cut
+from .common import apart, cut, drop
 from .components import hash_to_min
 
 #: Vectors that the number of lists is measured with; recall aimed at; most lists a vector is laid in; rows compared at once.
-MEASURED, RECALL, MOST_PROBES, BLOCK = 256, 0.9995, 32, 512
+MEASURED, RECALL, MOST_PROBES, BLOCK = 1024, 0.992, 32, 512
+#: There is a list for so many times the root of the vectors' number.
+LISTS = 2
 #: Members and visitors of a list that one task takes; a longer list is compared in blocks.
 LIST_ROWS = 20_000
 
@@ -46,6 +48,24 @@ def unpacked(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-30)
 
 
+def packed12(x: np.ndarray) -> list[bytes]:
+    """Vectors as 12-bit integers and a scale, two in three bytes; inner products keep four digits."""
+    scale = np.abs(x).max(1, initial=1e-30).astype(np.float32)
+    q = (np.rint(x / scale[:, None] * 2047) + 2048).astype(np.uint16)
+    a, b = q[:, ::2], q[:, 1::2]
+    rows = np.stack([a & 255, (a >> 8) | ((b & 15) << 4), b >> 4], axis=2).astype(np.uint8).reshape(len(x), -1)
+    return [s + r for s, r in zip((s.tobytes() for s in scale), (row.tobytes() for row in rows))]
+
+
+def unpacked12(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 4 + dim * 3 // 2)
+    scale = np.ascontiguousarray(raw[:, :4]).view("<f4")
+    t = raw[:, 4:].reshape(len(raw), -1, 3).astype(np.int16)
+    q = np.stack([t[:, :, 0] | ((t[:, :, 1] & 15) << 8), (t[:, :, 1] >> 4) | (t[:, :, 2] << 4)], axis=2).reshape(len(raw), dim)
+    x = (q - 2048).astype(np.float32) * (scale / 2047)
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-30)
+
+
 def usable(vectors: DataFrame, dim: int = 128, id_col: str = "record_id", vector_col: str = "nl_embedding") -> DataFrame:
     """``(id, k, v)``: rows with ``dim`` finite values that are not all zero, as rotated unit vectors.
 
@@ -182,19 +202,20 @@ class Layout:
     """The distinct vectors, laid in lists around ``centroids``, about half the root of their number.
 
     Every vector is laid in the list of its nearest centroid and in the next
-    ``probes - 1``; without ``probes`` as many as are needed for a recall of
-    ``RECALL`` of the pairs of ``least`` or more that ``MEASURED`` vectors have, by
-    brute force over all. The centroids broadcast stay small: 8 MB for a thousand
+    ``probes - 1``; without ``probes`` as many as are needed for a mean recall of
+    ``RECALL`` of the pairs of ``least`` or more that each of ``MEASURED`` vectors
+    has, by brute force over all. The centroids broadcast stay small: 8 MB for a thousand
     million vectors.
     """
 
     def __init__(self, vectors: DataFrame, dim: int, least: float, probes: int | None = None, **columns):
         self.dim, self.least = dim, least
-        base, _ = cut(usable(vectors, dim, **columns), "vectors")
-        self.members = base.groupBy("id").agg(F.min("k").alias("k"))
+        base, path = cut(usable(vectors, dim, **columns), "vectors")
+        self.members, _ = cut(base.groupBy("id").agg(F.min("k").alias("k")), "members")
         self.reps, _ = cut(base.select("k", "v").dropDuplicates(["k"]), "distinct")
+        drop(self.reps.sparkSession, path)
         self.n = self.reps.count()
-        self.centroids = grown(self.reps, max(1, int(self.n**0.5 / 2)), dim)
+        self.centroids = grown(self.reps, max(1, int(self.n**0.5 / LISTS)), dim)
         self.probes = min(probes or self._measured(), len(self.centroids))
 
     def _measured(self) -> int:
@@ -210,7 +231,7 @@ class Layout:
             x, c = shared.value
             own = (x @ c.T).argmax(1) if len(x) else np.zeros(0, np.int64)
             far = x @ c.T
-            count = np.zeros(MOST_PROBES + 1, np.int64)
+            count = np.zeros((len(x), MOST_PROBES + 1), np.int64)
             for batch in batches:
                 y = unpacked(batch.column(0), dim)
                 sims = y @ x.T
@@ -219,18 +240,25 @@ class Layout:
                     near = y[i] @ c.T
                     mine = near.argmax(1)
                     rank = np.minimum((near > near[np.arange(len(i)), own[j]][:, None]).sum(1), (far[j] > far[j, mine][:, None]).sum(1))
-                    count += np.bincount(np.minimum(rank, MOST_PROBES), minlength=MOST_PROBES + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(count))), pa.array(count)], names=["rank", "n"])
+                    np.add.at(count, (j, np.minimum(rank, MOST_PROBES)), 1)
+            q, r = np.nonzero(count)
+            yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(r), pa.array(count[q, r])], names=["q", "rank", "n"])
 
-        rows = self.reps.select("v").mapInArrow(run, "rank long, n long").groupBy("rank").agg(F.sum("n").alias("n")).collect()
-        n = np.zeros(MOST_PROBES + 1)
+        rows = self.reps.select("v").mapInArrow(run, "q long, rank long, n long").groupBy("q", "rank").agg(F.sum("n").alias("n")).collect()
+        n = np.zeros((len(x), MOST_PROBES + 1))
         for r in rows:
-            n[r["rank"]] = r["n"]
-        met = np.cumsum(n)
-        return min(MOST_PROBES, 1 + int(np.argmax(met >= RECALL * met[-1]))) if met[-1] else 4
+            n[r["q"], r["rank"]] = r["n"]
+        n = n[n.sum(1) > 0]
+        if not len(n):
+            return 4
+        met = np.cumsum(n / n.sum(1, keepdims=True), axis=1).mean(0)
+        return min(MOST_PROBES, 1 + int(np.argmax(met >= RECALL)))
 
-    def lists(self) -> DataFrame:
-        """``(list, lo, hi, part, own, k, v)``: a short list is one block, of a long one every two parts meet in one."""
+    def lists(self, narrow: bool = False) -> DataFrame:
+        """``(list, lo, hi, part, own, k, v)``: a short list is one block, of a long one every two parts meet in one.
+
+        ``narrow`` lays the vectors in 12 bits a value (even dimensions only), which is a quarter less to shuffle.
+        """
         shared = self.reps.sparkSession.sparkContext.broadcast(self.centroids)
         dim, probes = self.dim, self.probes
 
@@ -238,12 +266,14 @@ class Layout:
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                sims = unpacked(batch.column(1), dim) @ shared.value.T
+                x, laid = unpacked(batch.column(1), dim), batch.column(1)
+                sims = x @ shared.value.T
+                laid = pa.array(packed12(x), pa.binary()) if narrow else laid
                 near = np.argpartition(-sims, probes - 1, axis=1)[:, :probes]
                 own = near == sims.argmax(1)[:, None]
                 at = pa.array(np.repeat(np.arange(batch.num_rows), probes))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(near.ravel().astype(np.int32)), pa.array(own.ravel()), batch.column(0).take(at), batch.column(1).take(at)],
+                    [pa.array(near.ravel().astype(np.int32)), pa.array(own.ravel()), batch.column(0).take(at), laid.take(at)],
                     names=["list", "own", "k", "v"],
                 )
 
@@ -300,34 +330,36 @@ def _best(a: np.ndarray, b: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarr
     return a[rank < k], b[rank < k], s[rank < k]
 
 
-def _meetings(table: pa.Table, dim: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _meetings(table: pa.Table, dim: int, least: float, eps: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs of a block's rows, one of them a member, of cosine ``least`` or more; of two parts only what crosses."""
-    x, part = unpacked(table.column("v"), dim), table.column("part").to_numpy()
+    v, part = table.column("v"), table.column("part").to_numpy()
+    narrow = len(v) > 0 and len(v[0].as_py()) < 4 + 2 * dim
+    x = (unpacked12 if narrow else unpacked)(v, dim)
     is_own = table.column("own").to_numpy(zero_copy_only=False)
     if len(x) and table.column("lo")[0].as_py() != table.column("hi")[0].as_py():
         a, b = (part == p for p in np.unique(part)) if len(np.unique(part)) == 2 else (part < 0, part < 0)
         sides = [(np.flatnonzero(a), np.flatnonzero(b & is_own)), (np.flatnonzero(b & ~is_own), np.flatnonzero(a & is_own))]
         for rows, own in sides:
             for lo in range(0, len(rows) if len(own) else 0, BLOCK):
-                i, j, s = scan(x[rows[lo : lo + BLOCK]], x[own], least)
+                i, j, s = scan(x[rows[lo : lo + BLOCK]], x[own], least, eps=eps)
                 yield rows[i + lo], own[j], s
         return
     own = np.flatnonzero(is_own)
     rows = np.concatenate([own, np.flatnonzero(~is_own)])
     for lo in range(0, len(rows) if len(own) else 0, BLOCK):
         first = min(lo, len(own)) if lo < len(own) else 0
-        i, j, s = scan(x[rows[lo : lo + BLOCK]], x[own[first:]], least)
+        i, j, s = scan(x[rows[lo : lo + BLOCK]], x[own[first:]], least, eps=eps)
         i, j = i + lo, j + first
         once = (i >= len(own)) | (j > i)  # two members meet once
         yield rows[i[once]], own[j[once]], s[once]
 
 
-def _neighbours(dim: int, k: int, least: float) -> Callable[[pa.Table], pa.Table]:
+def _neighbours(dim: int, k: int, least: float, eps: float) -> Callable[[pa.Table], pa.Table]:
     """The best of what a block's rows find among its members, and members among all its rows."""
 
     def run(table: pa.Table) -> pa.Table:
         got = [], [], []
-        for i, j, s in _meetings(table, dim, least):
+        for i, j, s in _meetings(table, dim, least, eps):
             for a, b in ((i, j), (j, i)):
                 for to, new in zip(got, _best(a, b, s, k)):
                     to.append(new)
@@ -339,7 +371,7 @@ def _neighbours(dim: int, k: int, least: float) -> Callable[[pa.Table], pa.Table
 
 
 def nearest(
-    vectors: DataFrame, k: int = 5, min_similarity: float = 0.80, dim: int = 128, probes: int | None = None,
+    vectors: DataFrame, k: int = 5, min_similarity: float = 0.80, dim: int = 128, probes: int | None = None, eps: float = 2.1,
     id_col: str = "record_id", vector_col: str = "nl_embedding",
 ) -> DataFrame:
     """``(record_id, neighbor_id, similarity)``: for each record the ``k`` others of the highest cosine.
@@ -347,7 +379,7 @@ def nearest(
     Only neighbours of ``min_similarity`` or more count; ties go to the smaller id.
     Vectors that are null, of another length, not finite or all zero take no part;
     rows given twice count once. Recall against brute force is measured in the
-    tests and the README; similarities are right to about 0.00001.
+    tests and the README; similarities are right to about 0.0001.
 
     Scale: exact copies, however many, are searched once and share their
     neighbours, of each of which at most k + 1 ids are kept. A list is compared
@@ -356,15 +388,15 @@ def nearest(
     """
     lay = Layout(vectors, dim, min_similarity, probes, id_col=id_col, vector_col=vector_col)
     found = (
-        lay.lists()
+        lay.lists(narrow=dim % 2 == 0)
         .groupBy("list", "lo", "hi")
-        .applyInArrow(_neighbours(dim, k, min_similarity), "k string, to string, sim float")
+        .applyInArrow(_neighbours(dim, k, min_similarity, eps), "k string, to string, sim float")
         .groupBy("k", "to")
         .agg(F.max("sim").alias("sim"))
     )
     top = found.groupBy("k").agg(F.slice(F.sort_array(F.collect_list(F.struct("sim", "to")), False), 1, k).alias("t"))
     pairs = top.select("k", F.explode("t").alias("t")).select("k", F.col("t.to").alias("to"), F.col("t.sim").alias("sim"))
-    members, _ = cut(lay.members, "members")
+    members = lay.members
     rank = F.row_number().over(Window.partitionBy("k").orderBy("id"))
     few = members.withColumn("r", rank).where(f"r <= {k + 1}").groupBy("k").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     near = (
@@ -414,7 +446,7 @@ def compact_leaves(x: np.ndarray, least: float) -> list[np.ndarray]:
     return leaves
 
 
-def _fragments(dim: int, least: float) -> Callable[[pa.Table], pa.Table]:
+def _fragments(dim: int, least: float, eps: float) -> Callable[[pa.Table], pa.Table]:
     """Links of a block: of each compact leaf of its members to its first row, and between leaves that a split has torn apart."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -426,7 +458,7 @@ def _fragments(dim: int, least: float) -> Callable[[pa.Table], pa.Table]:
                 head[mine[leaf]] = mine[leaf[0]]
         rows = np.flatnonzero(head != np.arange(len(head)))
         links = [np.stack([head[rows], rows])]
-        for i, j, _ in _meetings(table, dim, least):
+        for i, j, _ in _meetings(table, dim, least, eps):
             both = np.stack([head[i], head[j]])
             links.append(np.unique(both[:, both[0] != both[1]], axis=1))
         a, b = np.unique(np.concatenate(links, axis=1), axis=1)
@@ -453,7 +485,7 @@ def _pairwise(dim: int, least: float) -> Callable[[pa.Table], pa.Table]:
 
 
 def clusters(
-    vectors: DataFrame, min_similarity: float = 0.70, min_size: int = 5, dim: int = 128, probes: int | None = None,
+    vectors: DataFrame, min_similarity: float = 0.70, min_size: int = 5, dim: int = 128, probes: int | None = None, eps: float = 2.1,
     id_col: str = "record_id", vector_col: str = "nl_embedding",
 ) -> tuple[DataFrame, DataFrame]:
     """``(record_id, cluster_id)`` of every record in a cluster, and the clusters' members with their places.
@@ -470,7 +502,7 @@ def clusters(
     doesn't come out. Large groups are checked by many tasks.
     """
     lay = Layout(vectors, dim, min_similarity, probes, id_col=id_col, vector_col=vector_col)
-    links = lay.lists().groupBy("list", "lo", "hi").applyInArrow(_fragments(dim, min_similarity), "a string, b string")
+    links = lay.lists().groupBy("list", "lo", "hi").applyInArrow(_fragments(dim, min_similarity, eps), "a string, b string")
     group = hash_to_min(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     members = lay.members.join(group, F.col("k") == F.col("node"), "left").select("id", "k", F.coalesce("group_id", "k").alias("g"))
     members, _ = cut(members, "grouped")
