@@ -21,7 +21,7 @@ from .common import apart, cut, drop
 from .components import hash_to_min
 
 #: Vectors that the number of lists is measured with; recall aimed at; most lists a vector is laid in; rows compared at once.
-MEASURED, RECALL, MOST_PROBES, BLOCK = 1024, 0.992, 32, 512
+MEASURED, RECALL, MOST_PROBES, BLOCK = 1024, 0.99, 32, 512
 #: There is a list for so many times the root of the vectors' number.
 LISTS = 2
 #: Members and visitors of a list that one task takes; a longer list is compared in blocks.
