@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import consolidate, find_duplicates
 from ..operators.normalize import normalize, validate
-from ..sources.readers import Source, read_all
+from ..sources.readers import Source, read, read_all
 from ..tables import TRACE, Snapshots, cut, upsert_records
 
 
@@ -17,6 +19,7 @@ from ..tables import TRACE, Snapshots, cut, upsert_records
 class Ingested:
     records: DataFrame
     metrics: dict
+    errors: list[str]
 
 
 def dedup_records(records: DataFrame) -> DataFrame:
@@ -38,26 +41,50 @@ def metrics_of(records: DataFrame) -> DataFrame:
     )
 
 
+def scanned(spark: SparkSession, sources: list[Source]) -> tuple[DataFrame, list[str]]:
+    """Raw problems of every source that can be read whole, each scanned once, and why the others can't be.
+
+    A source's place in the list is its priority, whether others can be read or not.
+    """
+    out, errors = read_all(spark, []), []
+    for k, s in enumerate(sources):
+        try:
+            rows = cut(read(spark, s).withColumn("source_idx", F.lit(k)), "scanned")
+        except (PySparkException, ValueError, OSError) as e:
+            errors.append(f"{s.name}: {str(e).splitlines()[0] if str(e) else type(e).__name__}")
+            continue
+        out = out.unionByName(rows)
+    return out, errors
+
+
 def ingest(spark: SparkSession, sources: list[Source], store: Snapshots | None = None, export: str | None = None, now=None) -> Ingested:
     """Runs the stages over all sources; nothing is stored or exported where nothing was parsed.
 
     All records are stored, duplicates too; metrics and export are of survivors.
-    A source that can't be read at all is left out and counted as an error.
+    A source that can't be read, at its beginning or later, is left out and counted
+    as an error with its reason.
     """
-    good, errors = [], 0
-    for s in sources:
-        try:
-            read_all(spark, [s]).limit(1).count()
-            good.append(s)
-        except Exception:  # an unreadable source must not end the run
-            errors += 1
-    records = cut(normalize(read_all(spark, good)), "normalized")
+    raw, errors = scanned(spark, sources)
+    records = cut(normalize(raw), "normalized")
     done = cut(validate(dedup_records(records)), "ingested")
-    metrics = metrics_of(done).first().asDict() | {"errors": errors}
+    metrics = metrics_of(done).first().asDict() | {"errors": len(errors)}
     if metrics["parsed"] and store is not None:
         at = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
         rows = done.withColumns({"raw_file": F.col("ingest_trace.raw_file"), "raw_offset": F.col("ingest_trace.raw_offset"), "created_at": at, "updated_at": at})
-        store.upsert(rows, list(TRACE), upsert_records)
+        store.upsert(rows, list(TRACE), upsert_records, order="updated_at")
     if metrics["parsed"] and export:
         done.where("deduplicated_into is null").write.mode("overwrite").json(export)
-    return Ingested(done, metrics)
+    return Ingested(done, metrics, errors)
+
+
+def export_document(rows: DataFrame, path: str) -> int:
+    """Writes rows as one JSON array, indented, as they come from the cluster part by part; gives their number."""
+    n = 0
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("[")
+        for r in rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("v")).toLocalIterator():
+            text = json.dumps(json.loads(r.v), ensure_ascii=False, indent=2).replace("\n", "\n  ")
+            f.write((",\n  " if n else "\n  ") + text)
+            n += 1
+        f.write("\n]\n" if n else "]\n")
+    return n

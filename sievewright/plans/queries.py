@@ -780,13 +780,14 @@ def streamed_windows(spark, d):
     """The events as a stream, counted by hour and type."""
     from ..streaming.jobs import windowed_counts
 
-    name = f"windows_{uuid.uuid4().hex}"
-    out = f"{shared_dir(spark)}/{name}"
+    out = f"{shared_dir(spark)}/windows-{uuid.uuid4().hex}"
     schema = table(spark, d, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    job = windowed_counts(stream, late="36500 days").writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", out).trigger(availableNow=True).start()
-    job.awaitTermination()
-    return spark.table(name).select("window_start", "event_type", "n", F.round("total", 4).alias("total"))
+    counts = windowed_counts(stream, late="36500 days")
+    # each epoch's whole counts replace those before, as a table in the shared folder
+    job = counts.writeStream.outputMode("complete").foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{out}/counts"))
+    job.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{out}/counts").select("window_start", "event_type", "n", F.round("total", 4).alias("total"))
 
 
 @query("select pattern_id, label, (size + 1)::bigint as size from patterns")

@@ -237,7 +237,7 @@ def read_all(spark: SparkSession, sources: list[Source]) -> DataFrame:
 
 
 def read_problems(spark: SparkSession, path: str) -> DataFrame:
-    """``(offset, problem)`` objects of a problems file as JSON: lines, a list, ``{"records": [..]}``, or one object."""
+    """``(offset, problem)`` objects of a problems file as JSON: lines, a list, ``{"records": [..]}`` or ``{"problems": [..]}``, or one object."""
     lines = path.endswith((".jsonl", ".ndjson"))
     rows = lines_with_numbers(spark, path).select("text", "offset") if lines else _files(spark, path).select("text", F.lit(0).alias("offset"))
 
@@ -249,7 +249,9 @@ def read_problems(spark: SparkSession, path: str) -> DataFrame:
                     v = json.loads(text)
                 except (ValueError, RecursionError):
                     continue
-                v = v.get("records", [v]) if isinstance(v, dict) and not lines else v if isinstance(v, list) else [v]
+                if isinstance(v, dict) and not lines:
+                    v = next((v[k] for k in ("records", "problems") if isinstance(v.get(k), list)), [v])
+                v = v if isinstance(v, list) else [v]
                 out += [{"offset": offset + k, "problem": json.dumps(x, ensure_ascii=False)} for k, x in enumerate(v) if isinstance(x, dict)]
             yield pa.RecordBatch.from_pylist(out, pa.schema([("offset", pa.int64()), ("problem", pa.string())]))
 

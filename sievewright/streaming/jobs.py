@@ -13,8 +13,16 @@ from ..tables import TRACE, Snapshots, upsert_records
 
 
 def upsert_stream(rows: DataFrame, store: Snapshots, checkpoint: str) -> DataStreamWriter:
-    """Every micro-batch is upserted; a batch given again after a failure changes versions only."""
-    return rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, _: store.upsert(df, list(TRACE), upsert_records))
+    """Every micro-batch is upserted; a batch given again after a failure changes versions only.
+
+    A batch rewrites the buckets it falls into; the last ten versions are kept.
+    """
+
+    def batch(df: DataFrame, _: int) -> None:
+        store.upsert(df, list(TRACE), upsert_records)
+        store.expire(10)
+
+    return rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
 
 
 def assign_stream(rows: DataFrame, patterns: Snapshots, assignments: Snapshots, checkpoint: str, threshold: float = 0.80, sequential: bool = False) -> DataStreamWriter:

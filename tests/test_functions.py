@@ -89,3 +89,27 @@ def test_schema_inference():
 def test_fence_free():
     assert values.fence_free('```json\n{"a": {"b": 1}}\n```') == '{"a": {"b": 1}}'
     assert values.fence_free("text") == "text" and values.fence_free('so: {"a": 1} yes') == '{"a": 1}'
+
+
+def test_nested_lists_stay_whole():
+    ins, _, _ = values.infer_schema([{"input": "intervals = [[1,3],[2,6]], k = 2", "output": "1"}])
+    assert ins["properties"] == {"intervals": {"type": "array<array<integer>>"}, "k": {"type": "integer"}}
+    assert values.parse_side("nums = [1,2], foo") == ({"nums": [1, 2]}, 0.85)
+    assert values.parse_side("a = 1, = 2") == ("a = 1, = 2", 0.5)
+
+
+@pytest.mark.parametrize("text", ["nan", "inf", "1_000", "1e5", "+3", "0x1", "- 1", "9" * 5000])
+def test_only_plain_numbers_are_numbers(text):
+    assert values.scalar(text) == text
+
+
+@given(st.lists(st.recursive(st.integers() | st.text(max_size=3) | st.none() | st.booleans(), lambda c: st.lists(c, max_size=3) | st.dictionaries(st.text(max_size=2), c, max_size=3)), min_size=1, max_size=5))
+def test_shapes_join_in_any_grouping(vs):
+    from functools import reduce
+
+    one = [values.Shape.of(v) for v in vs]
+    left = reduce(values.Shape.__or__, one)
+    right = one[-1]
+    for s in reversed(one[:-1]):
+        right = s | right
+    assert left.kind == right.kind and left.fields == right.fields
