@@ -19,11 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (tests on one machine) a temporary folder
-    is made and removed at exit.
+    Only in local mode (tests on one machine) a temporary folder is made where the
+    session names none, and removed at exit.
     """
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         where = tempfile.mkdtemp(prefix="sievewright-")
         atexit.register(shutil.rmtree, where, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(where)

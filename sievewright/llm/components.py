@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import apart, cut, drop, filled
 
+#: Nodes whose links a task contracts before it begins anew.
+NODES = 500_000
+
 
 def links_of(matches: DataFrame, a: str = "canonical", b: str = "duplicate") -> DataFrame:
-    """Distinct undirected links ``(a, b)`` with ``a < b``.
+    """Undirected links ``(a, b)`` with ``a < b``.
 
     Ids are lower-cased and trimmed; rows with a null or blank side and rows that
     point to themselves are no links. Other columns are ignored.
@@ -19,10 +25,36 @@ def links_of(matches: DataFrame, a: str = "canonical", b: str = "duplicate") ->
         matches.select(x.alias("x"), y.alias("y"))
         .where("x is not null and y is not null and x <> y")
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
     )
 
 
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of the same components: every node that a task has met with the least node it knows to be linked to it."""
+    root: dict[str, str] = {}
+
+    def find(v: str) -> str:
+        top = v
+        while (up := root.setdefault(top, top)) != top:
+            top = up
+        while (up := root[v]) != top:
+            root[v], v = top, up
+        return top
+
+    def stars() -> pa.RecordBatch:
+        pairs = [(r, v) for v in root if (r := find(v)) != v]
+        root.clear()
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.string()) for k in (0, 1)], names=["a", "b"])
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = find(a), find(b)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+        if len(root) > NODES:
+            yield stars()
+    yield stars()
+
+
 def hash_to_min(links: DataFrame) -> DataFrame:
     """Connected components: ``(node, group_id)`` for every node of ``links(a, b)``.
 
@@ -31,14 +63,16 @@ def hash_to_min(links: DataFrame) -> DataFrame:
     and that member to all others; it ends when a round changes nothing. The least
     member comes from an aggregation that combines before the shuffle; the join
     that sends it back has a hot vertex only on its many-rows side, which adaptive
-    execution splits. Every round is a table in the shared folder, so a lost
+    execution splits. Before the first round every task contracts the links it
+    reads to stars, of bounded size, which combines a hot vertex's links where they
+    lie and shortens chains. Every round is a table in the shared folder, so a lost
     executor costs a part of one round. ``group_id`` is the group's smallest node.
     An empty input gives an empty result. Null ids are not allowed (see links_of).
     """
     spark = links.sparkSession
     pair = lambda v, u: F.struct(F.col(v).alias("v"), F.col(u).alias("u"))
     state, path = cut(
-        links.select(F.explode(F.array(pair("a", "b"), pair("b", "a"), pair("a", "a"), pair("b", "b"))).alias("p"))
+        links.select("a", "b").mapInArrow(_stars, "a string, b string").select(F.explode(F.array(pair("a", "b"), pair("b", "a"), pair("a", "a"), pair("b", "b"))).alias("p"))
         .select("p.v", "p.u")
         .distinct(),
         "components",
