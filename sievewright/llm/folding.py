@@ -158,30 +158,28 @@ def _hashed(bits: int):
             c1, c2, m = poly_hashes(codes, "code")
             take = n > 0
             key = [t1 & mask, c1 & mask] + ([(t2 << 31) ^ c2, (n << 32) ^ m] if bits >= 64 else [n * 0, n * 0])
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "id": pa.array(ids, pa.string()),
-                    "title": pa.array(titles, pa.string()),
-                    "code": pa.array(codes, pa.string()),
-                }
-                | {f"k{i}": pa.array(k) for i, k in enumerate(key)}
-            ).filter(pa.array(take))
+            yield pa.RecordBatch.from_pydict({"id": pa.array(ids, pa.string())} | {f"k{i}": pa.array(k) for i, k in enumerate(key)}).filter(pa.array(take))
 
     return run
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    last, code_of_last = None, None
     for batch in batches:
-        d = batch.to_pydict()
-        ok = [
-            same(t, rt, "title") and same(c, rc, "code")
-            for t, c, rt, rc in zip(d["title"], d["code"], d["rep_title"], d["rep_code"])
-        ]
-        yield pa.RecordBatch.from_pydict(
-            {"id": pa.array(d["id"], pa.string()), "rep": pa.array(d["rep"], pa.string()), "same": pa.array(ok, pa.bool_())}
-        )
-
-
+        d, kept, ok = batch.to_pydict(), [], []
+        for k, (t, s, rt, rs) in enumerate(zip(d["title"], d["solution"], d["rep_title"], d["rep_solution"])):
+            if last is None or rs != last[0]:
+                last, code_of_last = (rs,), code_of(rs)
+            code = code_of(s)
+            if t is not None and rt is not None and code is not None and code_of_last is not None:
+                kept.append(k)
+                ok.append(same(t, rt, "title") and same(code, code_of_last, "code"))
+        at = pa.array(kept, pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("rep").take(at), pa.array(ok, pa.bool_())], names=["id", "rep", "same"])
+
+
+#: Rows of (id, first id) that are broadcast to the texts; more are shuffled.
+BROADCAST_ROWS = 300_000
 KEYS = ["k0", "k1", "k2", "k3"]
 
 
@@ -197,32 +195,25 @@ def formatting_duplicates(
     with a title without letter or digit, or with a solution that isn't whole JSON
     take no part; a null solution is one without code. Other columns are ignored.
 
-    Scale: texts are shuffled once, by hash, and only their group's first row
-    meets them, never all pairs; that row comes from an aggregation combined
-    before the shuffle, so a group of a third of all rows is one row a task there
-    and is split by adaptive execution in the join. Rows that differ from their
-    group's first in spite of equal hashes go into another round among themselves,
-    until none is left.
+    Scale: hashes alone find the groups; only texts of groups of two or more are
+    then shuffled, once, to their group's first row, and never meet all pairs. That
+    first row comes from an aggregation combined before the shuffle, and adaptive
+    execution splits a group of a third of all rows in the join. Rows that differ
+    from their group's first in spite of equal hashes go into another round among
+    themselves, until none is left.
     """
-    spark = records.sparkSession
-    rows = records.select(
-        F.col(id_col).cast("string").alias("id"), F.col(title_col).alias("title"), F.col(solution_col).alias("solution")
-    ).mapInArrow(_hashed(hash_bits), "id string, title string, code string, k0 long, k1 long, k2 long, k3 long")
+    texts = records.select(F.col(id_col).cast("string").alias("id"), F.col(title_col).alias("title"), F.col(solution_col).alias("solution"))
+    rows, _ = cut(texts.mapInArrow(_hashed(hash_bits), "id string, k0 long, k1 long, k2 long, k3 long"), "hashes")
     found = None
     while True:
-        first = (
-            rows.groupBy(*KEYS)
-            .agg(F.min_by(F.struct("id", "title", "code"), "id").alias("f"), F.max("id").alias("last"))
-            .where("last > f.id")
-            .select(*KEYS, F.col("f.id").alias("rep"), F.col("f.title").alias("rep_title"), F.col("f.code").alias("rep_code"))
-        )
-        compared, _ = cut(
-            rows.join(apart(first, "k0"), KEYS)
-            .select("id", "title", "code", "rep", "rep_title", "rep_code")
-            .mapInArrow(_compared, "id string, rep string, same boolean"),
-            "folding",
-        )
-        good = compared.where("same").select("id", "rep")
+        first = rows.groupBy(*KEYS).agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("last > rep").drop("last")
+        member, _ = cut(rows.join(apart(first, "k0"), KEYS).select("id", "rep").distinct(), "members")
+        small = member.count() <= BROADCAST_ROWS
+        grouped = texts.join(F.broadcast(member) if small else member, "id")
+        reps = grouped.where("id = rep").select("rep", F.col("title").alias("rep_title"), F.col("solution").alias("rep_solution"))
+        others = grouped.where("id <> rep")
+        compared, _ = cut(others.join(reps, "rep").select("id", "title", "solution", "rep", "rep_title", "rep_solution").mapInArrow(_compared, "id string, rep string, same boolean"), "folding")
+        good = compared.where("same").select("id", "rep").unionByName(compared.where("same").select(F.col("rep").alias("id"), "rep"))
         found = good if found is None else found.unionByName(good)
         other = compared.where("not same").select("id").distinct()
         if other.isEmpty():
