@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from .common import table
+from pyspark.sql import functions as F
+
+from .common import cut, table
 from .components import group_matches
 from .garble import garbled
 from .folding import formatting_duplicates
@@ -65,6 +67,16 @@ def p7_packed(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def p7_checked(spark, sf_dir):
+    """What any packing of the documents must hold, counted over all of them."""
+    placed, _ = cut(p7_packed(spark, sf_dir), "packed")
+    bins = placed.groupBy("bin_id").agg(F.max(F.col("bin_offset") + F.col("n_tokens")).alias("end"), F.sum("n_tokens").alias("n"))
+    docs = placed.groupBy("doc_id").agg(F.count("*").alias("pieces"), F.sum("n_tokens").alias("n"), F.max(F.col("token_start") + F.col("n_tokens")).alias("end"))
+    of_bins = bins.agg(F.count_if(F.col("end") > 2048).alias("overfull"), F.count_if(F.col("end") != F.col("n")).alias("overlapping"), (F.count("*") <= F.sum("n") / 2048 * 1.01 + 1).alias("within_a_percent"))
+    of_docs = docs.agg(F.count("*").alias("n_documents"), F.count_if((F.col("n") <= 2048) & (F.col("pieces") > 1)).alias("split_though_short"), F.count_if(F.col("end") != F.col("n")).alias("with_gaps"))
+    return of_docs.join(of_bins, how="cross").select("n_documents", "overfull", "overlapping", "split_though_short", "with_gaps", "within_a_percent")  # one row each
+
+
 def _leaks(spark, sf_dir):
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "test_items"))
 
@@ -85,5 +97,12 @@ def p9_restored(spark, sf_dir):
     return garbled(table(spark, sf_dir, "documents"))
 
 
+def p9_checked(spark, sf_dir):
+    """Of the documents found: how many bear lost characters, and how many are plain ASCII."""
+    found = p9_found(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    lost = F.count_if(F.col("text").contains("\ufffd"))
+    return found.agg(lost.alias("with_lost_characters"), F.count_if(~F.col("text").rlike("[^\\x00-\\x7f]")).alias("plain"), (lost > 0).alias("some_lost"))
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit()}

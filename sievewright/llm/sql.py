@@ -53,6 +53,19 @@ P3 = rf"""with h as (select id, any_value(case when json_valid(payload) then coa
   p as (select x.id as x, y.id as y, y.seq as seq, count(*) as i, any_value(x.k) as a, any_value(y.k) as b from u x join u y on x.w = y.w and x.seq >= 0 and y.seq < x.seq and x.id <> y.id group by x.n, y.n, x.id, y.id, y.seq)
   select x as new_id, arg_min(y, struct_pack(s := seq, y := y)) as first_id from p where i >= 0.6 * (a + b - i) - 1e-9 group by x"""
 
+# Arrivals are thirds of the batch numbers.
+P3_ARRIVALS = P3.replace("select id, seq_no, ", "select id, seq_no, batch_no, ").replace("select id, -1 as seq, ", "select id, -1 as seq, 0 as batch_no, ").replace(
+    "as n, id, seq, list_distinct(w) as w from a)", "as n, id, seq, batch_no, list_distinct(w) as w from a), t as (select min(batch_no) as lo, max(batch_no) + 1 - min(batch_no) as span from new_records)"
+).replace("select n, id, seq, unnest(w) as w", "select n, id, seq, batch_no, unnest(w) as w").replace("select x.id as x, y.id as y,", "select x.id as x, x.batch_no as batch_no, y.id as y,").replace(
+    "group by x.n, y.n, x.id, y.id, y.seq)", "group by x.n, y.n, x.id, x.batch_no, y.id, y.seq)"
+).replace("select x as new_id, arg_min", "select (case when batch_no >= lo + span * 2 // 3 then 2 when batch_no >= lo + span // 3 then 1 else 0 end)::int as arrival, x as new_id, arg_min").replace("from p where i", "from p cross join t where i").replace("1e-9 group by x", "1e-9 group by 1, 2")
+
+# What any packing must hold: each document with text whole and in order, no bin overfull, nothing split that fits.
+P7_CHECKED = "select count(*) as n_documents, 0::bigint as overfull, 0::bigint as overlapping, 0::bigint as split_though_short, 0::bigint as with_gaps, true as within_a_percent from documents where text <> ''"
+
+# Lost characters are always reported; texts that are null or plain ASCII never are.
+P9_CHECKED = r"select count(*) filter (contains(text, chr(65533))) as with_lost_characters, 0::bigint as plain, count(*) filter (contains(text, chr(65533))) > 0 as some_lost from documents"
+
 _VECTORS = """v as (select record_id as id, any_value(nl_embedding)::double[] as x from fingerprints
     where len(nl_embedding) = 128 and len(list_filter(nl_embedding, lambda e: e is null)) = 0 and len(list_filter(nl_embedding, lambda e: e <> 0)) > 0 group by record_id),
   u as (select id, list_transform(x, lambda e: e / sqrt(list_dot_product(x, x)))::double[128] as x from v),
@@ -72,4 +85,5 @@ P8 = rf"""with d as (select doc_id, {_WORDS.format('text')} as w from documents
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": P1.replace("@", ""), "p1_copies": P1.replace("@", ", n as n_copies"), "p2_found": P2, "p3_found": P3, "p4_found": P4, "p5_found": P5, "p6_found": P6, "p8_found": P8,
+        "p3_arrivals": P3_ARRIVALS, "p7_checked": P7_CHECKED, "p9_checked": P9_CHECKED,
     }
