@@ -260,10 +260,19 @@ def assign_snapshot(spark, d):
     return P.assign_snapshot(_fingerprints(spark, d), _patterns(spark, d)).withColumn("confidence", F.round("confidence", 5))
 
 
-@query()
+# One record after the other, in the order of their ids: the patterns' means are carried along as a list.
+@query(
+    f"""with recursive f as (select row_number() over (order by record_id) as i, record_id, x from (select distinct record_id, nl_embedding::double[] as x from fingerprints where {_USABLE.format('nl_embedding')})),
+    p as (select list(struct_pack(id := pattern_id, n := case when coalesce(size, 0) = 0 then 1 else size end::bigint, c := centroid::double[]) order by pattern_id) as pats, max(regexp_extract(pattern_id, '^pattern_(\\d+)$', 1)::bigint) + 1 as next from patterns where {_USABLE.format('centroid')}),
+    g(i, pats, next, record_id, k, sim) as (select 0::bigint, pats, next, ''::varchar, 0::bigint, 0.0::double from p union all
+      select i, case when sim >= 0.8 then list_transform(pats, lambda q, j: case when j = k then struct_pack(id := q.id, n := q.n + 1, c := list_transform(q.c, lambda v, e: (v * q.n + x[e]) / (q.n + 1))) else q end)
+          else list_append(pats, struct_pack(id := 'pattern_' || next, n := 1::bigint, c := x)) end, case when sim >= 0.8 then next else next + 1 end, record_id, case when sim >= 0.8 then k else len(pats) + 1 end, case when sim >= 0.8 then sim else 1 end
+      from (select *, list_max(sims) as sim, list_position(sims, list_max(sims)) as k from (select f.i, f.record_id, f.x, g.pats, g.next, list_transform(g.pats, lambda q: {_COS.format('q.c', 'f.x')}) as sims from g join f on f.i = g.i + 1)))
+    select record_id as problem_id, pats[k].id as pattern_id, round(sim, 5) as confidence from g where i > 0"""
+)
 def assign_sequential(spark, d):
-    rows = _fingerprints(spark, d).withColumn("ord", F.xxhash64("id"))
-    return P.assign_sequential(rows, _patterns(spark, d)).withColumn("confidence", F.round("confidence", 5))
+    rows = _fingerprints(spark, d).withColumn("ord", F.col("id"))
+    return P.assign_sequential(rows, _patterns(spark, d)).select("problem_id", "pattern_id", F.round("confidence", 5).alias("confidence"))
 
 
 @query(
