@@ -394,16 +394,8 @@ class History:
         rows = rows.withColumn("shard", F.pmod("shard", F.lit(shards)).cast("int"))
         if not hot:
             return rows
-        own = F.create_map(*[F.lit(x) for w, (f, n) in hot.items() for x in (w, f)]), F.create_map(*[F.lit(x) for w, (f, n) in hot.items() for x in (w, n)])
-        rest = [c for c in rows.columns if c not in ("shard", "words", "places")]
-        each = rows.select("shard", *rest, F.explode(F.arrays_zip("words", "places")).alias("s")).select("shard", *rest, "s.words", "s.places")
-        is_hot = F.col("words").isin(*hot)
-        cold = each.where(~is_hot).groupBy("shard", *rest).agg(F.collect_list("words").alias("words"), F.collect_list("places").alias("places"))
-        first, parts = own[0][F.col("words")], own[1][F.col("words")]
-        some = each.where(is_hot)
-        some = some.withColumn("shard", F.explode(F.sequence(first, first + parts - 1))) if asking else some.withColumn("shard", (first + F.pmod(F.xxhash64("rec"), parts)).cast("int"))
-        some = some.select(*[F.array(c).alias(c) if c in ("words", "places") else F.col(c) for c in rows.columns])
-        return cold.select(*rows.columns).unionByName(some)
+        shared = rows.sparkSession.sparkContext.broadcast(hot)
+        return rows.mapInArrow(_spread(shared, asking), rows.schema)
 
     def add(self, rows: DataFrame, search: bool = True) -> DataFrame | None:
         """Adds a batch; with ``search`` gives ``(id, first_id)`` of its records that repeat an earlier one.
@@ -519,6 +511,41 @@ class History:
         )
 
 
+def _spread(shared, asking: bool):
+    """Rows of suffixes with those of hot words in the words' own shards, one row for each record and shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = np.array(sorted(shared.value), np.int64)
+        first, parts = (np.array([shared.value[w][k] for w in hot.tolist()], np.int64) for k in (0, 1))
+        for batch in batches:
+            word, n = _flat(batch.column("words"))
+            place = batch.column("places").flatten().to_numpy(zero_copy_only=False)
+            own = np.repeat(np.arange(batch.num_rows), n)
+            shard = batch.column("shard").to_numpy().astype(np.int64)[own]
+            at = np.minimum(np.searchsorted(hot, word), len(hot) - 1)
+            is_hot = hot[at] == word
+            if asking:  # to each of a hot word's shards
+                times = np.where(is_hot, parts[at], 1)
+                nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                own, word, place, shard, at, is_hot = (np.repeat(c, times) for c in (own, word, place, shard, at, is_hot))
+                shard = np.where(is_hot, first[at] + nth, shard)
+            else:
+                salt = (_mix(batch.column("rec").to_numpy())[own] % parts[at].astype(np.uint64)).astype(np.int64)
+                shard = np.where(is_hot, first[at] + salt, shard)
+            order = np.lexsort((place, shard, own))
+            own, word, place, shard = own[order], word[order], place[order], shard[order]
+            begin = np.flatnonzero(np.diff(_runs(own, shard), prepend=-1)) if len(own) else np.zeros(0, np.int64)
+            offsets, rows = pa.array(np.append(begin, len(own)).astype(np.int32)), pa.array(own[begin])
+            made = {
+                "shard": pa.array(shard[begin].astype(np.int32)), "words": pa.ListArray.from_arrays(offsets, pa.array(word)),
+                "places": pa.ListArray.from_arrays(offsets, pa.array(place.astype(np.int32))),
+            }
+            names = batch.schema.names
+            yield pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(c).take(rows) for c in names], names=names)
+
+    return run
+
+
 def _unpaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The suffixes of pages as rows again, one for each record of a page."""
     for batch in batches:
