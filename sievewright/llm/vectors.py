@@ -69,7 +69,7 @@ def unpacked12(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
 def usable(vectors: DataFrame, dim: int = 128, id_col: str = "record_id", vector_col: str = "nl_embedding") -> DataFrame:
     """``(id, k, v)``: rows with ``dim`` finite values that are not all zero, as rotated unit vectors.
 
-    ``k`` names the exact vector, so copies share it. Of an id with unlike vectors
+    ``k`` names the exact vector by 72 bits of its hash, so copies share it. Of an id with unlike vectors
     the least ``k`` holds; rows with a null id take no part.
     """
     turn = rotation(dim)
@@ -86,7 +86,7 @@ def usable(vectors: DataFrame, dim: int = 128, id_col: str = "record_id", vector
                 norm = np.linalg.norm(x.astype(np.float64), axis=1)
             good = np.isfinite(norm) & (norm > 0)
             x, at, norm = x[good], at[good], norm[good]
-            keys = [base64.b64encode(xxhash.xxh3_128_digest(r.tobytes()))[:22].decode() for r in x]
+            keys = [base64.b64encode(xxhash.xxh3_128_digest(r.tobytes()))[:12].decode() for r in x]
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array(at)), pa.array(keys, pa.string()), pa.array(packed((x / norm[:, None]).astype(np.float32) @ turn), pa.binary())],
                 names=["id", "k", "v"],
