@@ -285,11 +285,12 @@ class Layout:
         if self.n <= LIST_ROWS:
             return laid.select("list", F.lit(0).alias("lo"), F.lit(0).alias("hi"), F.lit(0).alias("part"), "own", "k", "v")
         long = laid.groupBy("list").agg(F.count("*").alias("n")).where(F.col("n") > LIST_ROWS).collect()
-        parts = F.lit(1)
+        parts = np.ones(len(self.centroids), np.int64)
         for r in long:
-            parts = F.when(F.col("list") == r["list"], -(-r["n"] // LIST_ROWS)).otherwise(parts)
+            parts[r["list"]] = -(-r["n"] // LIST_ROWS)
         return (
-            laid.withColumn("parts", parts)
+            # one array, not a condition for each long list: nested conditions overflow the planner's stack from some hundreds on
+            laid.withColumn("parts", F.get(F.lit(parts.tolist()), F.col("list")))
             .withColumn("part", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
             .select("list", "part", "own", "k", "v", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("other"))
             .select("list", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "own", "k", "v")

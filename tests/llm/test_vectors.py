@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from sievewright.llm import vectors
 from sievewright.llm.vectors import clusters, described, nearest, scan
 
 V = "record_id string, nl_embedding array<float>, k string, v int"
@@ -75,3 +76,17 @@ def test_copies_alone_are_a_cluster_and_neighbours(spark):
 def test_tiny(spark, rows):
     df = spark.createDataFrame(rows, V)
     assert nearest(df).count() == 0 and clusters(df)[0].count() == 0
+
+
+def test_many_long_lists_are_planned(spark, monkeypatch):
+    """Some hundred lists in blocks of two parts each: nested conditions overflowed the planner's stack."""
+    monkeypatch.setattr(vectors, "LIST_ROWS", 3)
+    rng = np.random.default_rng(4)
+    centroids = rng.standard_normal((1000, 8)).astype(np.float32)
+    lay = object.__new__(vectors.Layout)
+    lay.dim, lay.probes, lay.centroids, lay.n = 8, 1, centroids / np.linalg.norm(centroids, axis=1, keepdims=True), 5000
+    x = np.repeat(lay.centroids, 5, axis=0)
+    lay.reps = spark.createDataFrame([(f"k{i}", bytearray(v)) for i, v in enumerate(vectors.packed(x))], "k string, v binary")
+    got = lay.lists().select("list", "lo", "hi", "part", "k").collect()
+    assert len(got) == 2 * 5000 and len({r.k for r in got}) == 5000  # every row once with each of the two parts
+    assert {(r.lo, r.hi) for r in got} == {(0, 0), (0, 1), (1, 1)}
