@@ -34,6 +34,25 @@ def test_run_code_outcomes():
     assert S.run_code("import sys\ndef f(x): sys.exit(3)", entry, {"x": 0}).error
 
 
+def test_calls_start_one_python_and_share_nothing(monkeypatch):
+    started, popen = [], S.subprocess.Popen
+    monkeypatch.setattr(S.subprocess, "Popen", lambda *a, **k: started.append(a) or popen(*a, **k))
+    code, entry = "import math\nn = globals().get('n', 0) + 1\nmath.seen = getattr(math, 'seen', 0) + 1\ndef f(x): return [n, math.seen, x]", ("function", "f", ["x"])
+    assert [S.run_code(code, entry, {"x": k}).value for k in range(30)] == [[1, 1, k] for k in range(30)]
+    assert len(started) <= 1  # a Python for every call took 0.1 to 0.2 s each
+    assert S.run_code("def f(x): print('a' * 300000); return 'b' * 300000", entry, {"x": 0}).value == "b" * 300000
+    assert S.run_code("import os\ndef f(x): os._exit(3)", entry, {"x": 0}).error == "exit code 3"
+    assert S.run_code("import os, threading\ndef f(x): threading.Thread(target=lambda: __import__('time').sleep(9)).start()", entry, {"x": 0}, timeout=1).timed_out
+    assert S.run_code(code, entry, {"x": 5}).value == [1, 1, 5]
+
+
+def test_a_call_that_ends_the_starter(monkeypatch):
+    monkeypatch.setattr(S, "_starter", None)
+    entry = ("function", "f", ["x"])
+    assert S.run_code("import os, signal, time\ndef f(x): os.kill(os.getppid(), signal.SIGKILL); time.sleep(1)", entry, {"x": 0}).error
+    assert S.run_code("def f(x): return x", entry, {"x": 4}).value == 4
+
+
 def test_sandbox_frame(spark):
     rows = [("a", CODE, ["python"], [("nums = [2,7], target = 9", "[0, 1]", None), ("nums = [2,7], target = 9", "[1, 0]", None)]), ("b", CODE, ["java"], []), ("c", CODE, ["python"], []), ("d", "x=", ["python"], [("a = 1", "1", None)]), ("e", None, None, None)]
     df = spark.createDataFrame(rows, "id string, code string, languages array<string>, examples array<struct<input:string,output:string,explanation:string>>")
