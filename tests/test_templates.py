@@ -60,6 +60,13 @@ def test_sandbox_frame(spark):
     assert got == {"a": ("ok", 2, 1, False), "b": ("unsupported_language", 0, 0, False), "c": ("no_examples", 0, 0, False), "d": ("no_entry_point", 0, 0, False), "e": ("unsupported_language", 0, 0, False)}
 
 
+def test_variants_start_one_python(monkeypatch):
+    started, popen = [], S.subprocess.Popen
+    monkeypatch.setattr(S.subprocess, "Popen", lambda *a, **k: started.append(a) or popen(*a, **k))
+    assert len(T.reauthor(RECORD, ScriptedClient(script=[json.dumps(GOOD)]), "p", count=20)["variants"]) == 20
+    assert len(started) <= 1
+
+
 def test_reauthor_accepts_after_a_bad_answer():
     client = ScriptedClient(script=["no json", "```json\n" + json.dumps(GOOD) + "\n```"])
     out = T.reauthor(RECORD, client, "p", count=3)
