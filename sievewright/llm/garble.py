@@ -3,12 +3,11 @@
 A smoothed character n-gram model of the clean records scores, for every run of
 non-ASCII characters and its surroundings, each text that some chain of encoding
 and decoding makes of it; the likeliest wins if it gains more than a margin that
-is validated on held-out clean runs and the same runs garbled on purpose.
+is validated on all clean runs and the same runs garbled on purpose.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
 import zlib
@@ -208,40 +207,41 @@ def clean_windows(text: str) -> Iterator[tuple[str, str, str]]:
             yield w
 
 
-def _hash_of(window: tuple[str, str, str]) -> int:
-    return zlib.crc32("\x00".join(window).encode("utf-8", "surrogatepass"))
-
-
-def _count(sample: int):
-    """Counts of buckets, and the ``sample`` distinct clean windows of least hash, as rows without a count."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
-        held: dict[tuple[str, str, str], int] = {}
-        for batch in batches:
-            seen: Counter = Counter()
-            for text in batch.column(0).to_pylist():
-                if text and not text.isascii() and clean(text):
-                    seen.update(clean_windows(text))
-            held |= {w: _hash_of(w) for w in seen}
-            held = dict(heapq.nsmallest(sample, held.items(), key=lambda h: (h[1], h[0])))
-            tri, bi, uni = Counter(), Counter(), Counter()
-            for w, n in seen.items():
-                t = beside(*w)
-                for k in range(2, len(t)):
-                    tri[t[k - 2 : k + 1]] += n
-                    bi[t[k - 1 : k + 1]] += n
-                    uni[t[k]] += n
-            for order, counts in enumerate((tri, bi, uni)):
-                for g, n in counts.items():
-                    total[order * SIZE + _bucket(g)] += n
-        bucket, n = [*total, *held.values()], [*total.values(), *[None] * len(held)]
-        some = [[None] * len(total) + [w[k] for w in held] for k in range(3)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(bucket, pa.int64()), pa.array(n, pa.int64()), *[pa.array(c, pa.string()) for c in some]], names=["bucket", "n", "left", "run", "right"]
-        )
-
-    return run
+#: Windows a task keeps before it passes them on.
+_KEPT = 200_000
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of buckets, and the clean windows as rows without a count, each once or a few times."""
+
+    def rows(counts: dict[int, int], some: set[tuple[str, str, str]]) -> pa.RecordBatch:
+        none, some = [None] * len(counts), list(some)
+        texts = [pa.array(none + [w[k] for w in some], pa.string()) for k in range(3)]
+        n = [pa.array([*x, *[None] * len(some)], pa.int64()) for x in (counts, counts.values())]
+        return pa.RecordBatch.from_arrays([*n, *texts], names=["bucket", "n", "left", "run", "right"])
+
+    total: Counter = Counter()
+    held: set[tuple[str, str, str]] = set()
+    for batch in batches:
+        seen: Counter = Counter()
+        for text in batch.column(0).to_pylist():
+            if text and not text.isascii() and clean(text):
+                seen.update(clean_windows(text))
+        held.update(seen)
+        if len(held) > _KEPT:
+            yield rows({}, held)
+            held.clear()
+        tri, bi, uni = Counter(), Counter(), Counter()
+        for w, n in seen.items():
+            t = beside(*w)
+            for k in range(2, len(t)):
+                tri[t[k - 2 : k + 1]] += n
+                bi[t[k - 1 : k + 1]] += n
+                uni[t[k]] += n
+        for order, counts in enumerate((tri, bi, uni)):
+            for g, n in counts.items():
+                total[order * SIZE + _bucket(g)] += n
+    yield rows(total, held)
 
 
 @dataclass
@@ -344,43 +344,69 @@ class Model:
         return known
 
 
-def validated_margin(model: Model, held: list[tuple[str, str, str]], beyond: float = 0.001) -> float:
+def gains_of(model: Model, window: tuple[str, str, str]) -> tuple[float, list[float]]:
+    """What a wrong repair of a clean window gains, and what the right repairs of the run garbled by every UTF-8 chain gain."""
+    left, run, after = window
+    right = []
+    for bad, good in CHAINS:
+        try:
+            garbled_ = run.encode(good).decode(bad) if good == "utf-8" else run
+        except UnicodeError:
+            continue
+        if garbled_ != run:
+            _, gain, fixed, _ = model.judge((left, garbled_, after))
+            right += [gain] if fixed == run else []
+    return model.judge(window)[1], right
+
+
+def _least(gains: DataFrame, share: float) -> float | None:
+    """The quantile of ``gain`` by linear interpolation, null without rows; only what lies below it reaches the driver."""
+    n = gains.count()
+    if not n:
+        return None
+    at = share * (n - 1)
+    low = [r["gain"] for r in gains.orderBy("gain").limit(int(at) + 2).collect()]
+    return low[int(at)] + (at - int(at)) * (low[min(int(at) + 1, n - 1)] - low[int(at)])
+
+
+def validated_margin(model: Model, clean_: DataFrame, beyond: float = 0.001) -> float:
     """A margin halfway between what clean runs gain and what right repairs gain.
 
-    ``held``: windows of clean runs. Each is judged as it is, which gives the gains
-    of wrong repairs, and garbled by every UTF-8 chain, which gives those of right
-    ones. The margin lies in the middle between the former's largest and the
-    latter's smallest, but for a share of ``beyond`` on either side.
+    ``clean_``: the distinct windows ``(left, run, right)`` of all clean runs. Each
+    is judged as it is, which gives the gains of wrong repairs, and garbled by every
+    UTF-8 chain, which gives those of right ones. The margin lies in the middle
+    between the former's largest and the latter's smallest, but for a share of
+    ``beyond`` on either side.
     """
-    wrong, right = [0.0], []
-    for w in held:
-        wrong.append(model.judge(w)[1])
-        for bad, good in CHAINS:
-            try:
-                garbled_ = w[1].encode(good).decode(bad) if good == "utf-8" else w[1]
-            except UnicodeError:
-                continue
-            if garbled_ != w[1]:
-                _, gain, fixed, _ = model.judge((w[0], garbled_, w[2]))
-                right += [gain] if fixed == w[1] else []
-    model._known.clear(), model._seen.clear()
-    if not right:
-        return model.margin
-    return (float(np.quantile(wrong, 1 - beyond)) + float(np.quantile(right, beyond))) / 2
-
-
-def train(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id", sample: int = 200) -> Model:
-    """Counts n-grams of all clean records, and validates the margin on ``sample`` distinct clean runs out of all of them.
-
-    One pass over whole texts; the runs are those of least hash in the whole
-    table. What reaches the driver is at most 3 x 2**20 counters and the sample.
+    spark = clean_.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [gains_of(shared.value, w) for w in zip(*(c.to_pylist() for c in batch.columns))]
+            gain = [-wrong for wrong, _ in found] + [g for _, right in found for g in right]
+            yield pa.RecordBatch.from_arrays([pa.array([k >= len(found) for k in range(len(gain))], pa.bool_()), pa.array(gain, pa.float64())], names=["repaired", "gain"])
+
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    windows_ = clean_.select("left", "run", "right").repartition(tasks, "run").sortWithinPartitions("run")  # what can be made of a run is found once
+    gains, path = cut(windows_.mapInArrow(run, "repaired boolean, gain double"), "gains")
+    right, wrong = _least(gains.where("repaired"), beyond), _least(gains.where("not repaired"), beyond)
+    drop(spark, path)
+    return model.margin if right is None else (right - wrong) / 2
+
+
+def train(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Model:
+    """Counts n-grams of all clean records, and validates the margin on all their distinct clean runs.
+
+    One pass over whole texts, then one over the distinct runs with two characters
+    on either side. What reaches the driver is at most 3 x 2**20 counters and a
+    thousandth of the gains.
     """
-    rows, path = cut(documents.select(F.col(text_col).alias("text")).mapInArrow(_count(sample), "bucket long, n long, left string, run string, right string"), "grams")
+    rows, path = cut(documents.select(F.col(text_col).alias("text")).mapInArrow(_count, "bucket long, n long, left string, run string, right string"), "grams")
     got = rows.where("n is not null").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     model = Model.of(got.column(0).to_numpy(), got.column(1).to_numpy())
-    held = rows.where("n is null").select("bucket", "left", "run", "right").distinct().orderBy("bucket", "run", "left", "right").limit(sample).collect()
+    model.margin = validated_margin(model, rows.where("n is null").select("left", "run", "right").distinct())
     drop(documents.sparkSession, path)
-    model.margin = validated_margin(model, [(r["left"], r["run"], r["right"]) for r in held])
     return model
 
 
@@ -461,7 +487,7 @@ def garbled(documents: DataFrame, model: Model | None = None, text_col: str = "t
     table trains an empty model and gives no row.
 
     Scale: one pass counts n-grams into a fixed number of buckets and keeps the
-    runs the margin is validated on, one narrow pass scores; texts are never shuffled and the model broadcast has a fixed size.
+    clean runs, whose distinct ones validate the margin, one narrow pass scores; texts are never shuffled and the model broadcast has a fixed size.
     """
     spark = documents.sparkSession
     model = model or train(documents, text_col, id_col)

@@ -166,6 +166,18 @@ def model(spark):
     return garble.train(spark.createDataFrame(rows, D))
 
 
+def test_margin_is_of_all_clean_runs(spark):
+    """Against plain Python over every distinct clean window; there are more than the 200 that a sample once held."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdef") + rng.choice("äöüßéèñçøå") + rng.choice("uvwxyz") for _ in range(12)) for _ in range(120)] + ["plain", "", None]
+    m = garble.train(spark.createDataFrame([(k, t, None, 0) for k, t in enumerate(texts)], D))
+    seen = {w for t in texts if t for w in garble.clean_windows(t)}
+    gains = [garble.gains_of(m, w) for w in sorted(seen)]
+    wrong, right = [g for g, _ in gains], [x for _, r in gains for x in r]
+    assert len(seen) > 500 and m.margin == pytest.approx((np.quantile(wrong, 0.999) + np.quantile(right, 0.001)) / 2)
+    assert garble.train(spark.createDataFrame([(1, "plain", None, 0)], D)).margin == garble.Model.margin
+
+
 @pytest.mark.parametrize("sentence", SENTENCES[:5])
 @pytest.mark.parametrize("wrong", ["latin-1", "cp1252", "cp437", "mac_roman"])
 def test_garbled_sentences_come_back(model, sentence, wrong):
