@@ -178,6 +178,23 @@ def test_margin_is_of_all_clean_runs(spark):
     assert garble.train(spark.createDataFrame([(1, "plain", None, 0)], D)).margin == garble.Model.margin
 
 
+def test_gains_of_many_windows(model, monkeypatch):
+    """As one by one, and no garbled run is searched for what else could be made of it, which took most of the time."""
+    runs = ["é", "ß", "—", "é\xa0—", "½Ж", "给你一个长度为", "如果", "瑙ｉ噴璇存槑", "верните", "\u2e3b", "个\u2e3b", "𠀀", "Ÿ", "\xa0", "河流"]
+    ws = [(left, run, right) for run in runs for left in ("", "a", "# ") for right in ("", " ", " X")]
+    found, asked = model.garbling().gains_of(ws), []
+    assert model.unseen("", "\u2e3b") and model.garbling().gains_of([]) == []
+    for w, (wrong, right) in zip(ws, found, strict=True):
+        plain = garble.gains_of(model, w)
+        assert wrong == plain[0] and sorted(right) == pytest.approx(sorted(plain[1]))
+        assert len(right) == sum(garble._read(w[1].encode(), x) not in (None, w[1]) for x, y in garble.CHAINS if y == "utf-8")
+    monkeypatch.setattr(garble, "candidates", lambda run: asked.append(run) or {})
+    model._seen.clear()
+    model.garbling().gains_of(ws)
+    model._seen.clear()
+    assert set(asked) == set(runs)
+
+
 @pytest.mark.parametrize("sentence", SENTENCES[:5])
 @pytest.mark.parametrize("wrong", ["latin-1", "cp1252", "cp437", "mac_roman"])
 def test_garbled_sentences_come_back(model, sentence, wrong):
